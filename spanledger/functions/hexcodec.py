@@ -9,23 +9,20 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-HEX_ONLY = "^[0-9a-fA-F]+$"
 SLOT = 64  # hex digits of one 32-byte slot
 SLOT_HEX = "^[0-9a-fA-F]{64}$"
+# At most 16 significant digits, with or without prefix.
+QUANTITY_64 = "^(?:0x)?0*[0-9a-fA-F]{1,16}$"
 
 
 def strip_prefix(col: Column) -> Column:
-    return F.regexp_replace(col, "^0x", "")
+    return F.when(col.startswith("0x"), F.substring(col, 3, 2147483647)).otherwise(col)
 
 
 def hex_to_bigint(col: Column) -> Column:
     """Hex quantity of any width to BIGINT; NULL if malformed or too large."""
-    digits = strip_prefix(col)
-    significant = F.length(F.ltrim(digits, F.lit("0")))
-    return F.when(
-        digits.rlike(HEX_ONLY) & (significant <= 16),
-        F.conv(F.right(digits, F.lit(16)), 16, 10).try_cast("bigint"),
-    )
+    digits = F.replace(col, F.lit("0x"), F.lit("0"))
+    return F.when(col.rlike(QUANTITY_64), F.conv(F.right(digits, F.lit(16)), 16, 10).try_cast("bigint"))
 
 
 def hex_to_address(col: Column) -> Column:
@@ -38,42 +35,47 @@ def hex_to_timestamp(col: Column) -> Column:
     return F.timestamp_seconds(hex_to_bigint(col))
 
 
-def slot(data: Column, n: int) -> Column:
-    """The n-th 32-byte slot of 0x-prefixed data, NULL when cut short."""
-    text = F.substring(data, 3 + SLOT * n, SLOT)
-    return F.when(F.length(text) == SLOT, text)
+def slot(data: Column, n: int, start: int = 0, count: int = SLOT) -> Column:
+    """Hex digits of the n-th 32-byte slot of 0x-prefixed data, NULL when cut short.
+
+    Cut from the bytes of the text: a position in a string is found by walking
+    its characters, in a binary it is a plain offset.
+    """
+    digits = data.cast("binary")
+    cut = F.substring(digits, 3 + SLOT * n + start, count).cast("string")
+    return F.when(F.octet_length(digits) >= 2 + SLOT * (n + 1), cut)
+
+
+def slot_address(data: Column, n: int) -> Column:
+    """The n-th slot as an address: its last 40 digits."""
+    return F.concat(F.lit("0x"), slot(data, n, 24, 40))
 
 
 def slot_to_address(slot_hex: Column) -> Column:
-    return F.concat(F.lit("0x"), F.right(slot_hex, F.lit(40)))
+    return F.concat(F.lit("0x"), F.substring(slot_hex, 25, 40))
 
 
 def slot_to_bytes32(slot_hex: Column) -> Column:
     return F.concat(F.lit("0x"), slot_hex)
 
 
-def _word(slot_hex: Column, i: int) -> Column:
-    """32-bit word i (0 = most significant) of a slot as DOUBLE."""
-    return F.conv(F.substring(slot_hex, 1 + 8 * i, 8), 16, 10).cast("bigint").cast("double")
-
-
-def _fold_words(slot_hex: Column, first: int) -> Column:
-    value = _word(slot_hex, first)
-    for i in range(first + 1, 8):
-        value = value * F.lit(4294967296.0) + _word(slot_hex, i)
-    return value
+def _digits(slot_hex: Column, start: int, count: int) -> Column:
+    """Up to 13 digits (52 bits) from a position, exact as DOUBLE."""
+    return F.conv(F.substring(slot_hex, start, count), 16, 10).cast("bigint").cast("double")
 
 
 def slot_to_double(slot_hex: Column) -> Column:
-    """uint256 slot to DOUBLE, rounded once for values below 2^85.
+    """uint256 slot to DOUBLE, rounded once for values below 2^104.
 
-    Amounts nearly always fit 96 bits, which takes three words instead of
-    eight.
+    Amounts nearly always fit 104 bits, which takes two pieces of 52 bits
+    instead of five.
     """
-    return F.when(
-        slot_hex.rlike(SLOT_HEX),
-        F.when(slot_hex.startswith("0" * 40), _fold_words(slot_hex, 5)).otherwise(_fold_words(slot_hex, 0)),
-    )
+    step = F.lit(4503599627370496.0)  # 2^52
+    short = _digits(slot_hex, 39, 13) * step + _digits(slot_hex, 52, 13)
+    whole = _digits(slot_hex, 1, 12)
+    for start in (13, 26, 39, 52):
+        whole = whole * step + _digits(slot_hex, start, 13)
+    return F.when(slot_hex.rlike("^0{38}[0-9a-fA-F]{26}$"), short).when(slot_hex.rlike(SLOT_HEX), whole)
 
 
 def slot_to_decimal(slot_hex: Column) -> Column:
@@ -132,7 +134,4 @@ def slot_to_integer_text(slot_hex: Column) -> Column:
 def hex_to_decimal(col: Column) -> Column:
     """Hex quantity to DECIMAL(38,0) where it fits, else NULL."""
     digits = strip_prefix(col)
-    return F.when(
-        digits.rlike(HEX_ONLY) & (F.length(digits) <= SLOT),
-        slot_to_decimal(F.lpad(digits, SLOT, "0")),
-    )
+    return F.when(F.length(digits).between(1, SLOT), slot_to_decimal(F.lpad(digits, SLOT, "0")))

@@ -14,6 +14,7 @@ from spanledger.functions.hexcodec import (
     hex_to_bigint,
     hex_to_timestamp,
     slot,
+    slot_address,
     slot_to_address,
     slot_to_double,
     slot_to_integer_text,
@@ -56,14 +57,32 @@ def topic_columns(sig: EventSignatures) -> dict[str, Column]:
     }
 
 
-def fill_columns(data: Column, is_fill: Column) -> dict[str, Column]:
+def with_numbers(logs: DataFrame, sig: EventSignatures) -> DataFrame:
+    """Adds the data as bytes and the numeric slots (``_n<slot>``).
+
+    Fill and deposit logs keep their amounts in the same slots, so one
+    expression serves both. A log cut short has NULL from there on.
+    """
+    event = F.col("topic_0")
+    is_fill, is_deposit, is_refund = (
+        event == sig.filled_relay,
+        event == sig.funds_deposited,
+        event == sig.executed_refund,
+    )
+    holders = {0: is_refund, 2: is_fill | is_deposit, 3: is_fill | is_deposit, 4: is_fill}
+    logs = logs.withColumn("_bytes", F.col("data").cast("binary"))
+    logs = logs.withColumns({f"_s{n}": F.when(held, slot(F.col("_bytes"), n)) for n, held in holders.items()})
+    return logs.withColumns({f"_n{n}": slot_to_double(F.col(f"_s{n}")) for n in holders})
+
+
+def fill_columns(is_fill: Column) -> dict[str, Column]:
     """FilledRelay: tokens, amounts, repayment chain and parties in fixed slots."""
 
     def address(n: int) -> Column:
-        return F.when(is_fill, slot_to_address(slot(data, n)))
+        return F.when(is_fill, slot_address(F.col("_bytes"), n))
 
     def number(n: int) -> Column:
-        return F.when(is_fill, slot_to_double(slot(data, n)))
+        return F.when(is_fill, F.col(f"_n{n}"))
 
     return {
         "filled_relay_data_input_token": address(0),
@@ -77,14 +96,14 @@ def fill_columns(data: Column, is_fill: Column) -> dict[str, Column]:
     }
 
 
-def deposit_columns(data: Column, is_deposit: Column) -> dict[str, Column]:
+def deposit_columns(is_deposit: Column) -> dict[str, Column]:
     """FundsDeposited: tokens, amounts and recipient in fixed slots."""
 
     def address(n: int) -> Column:
-        return F.when(is_deposit, slot_to_address(slot(data, n)))
+        return F.when(is_deposit, slot_address(F.col("_bytes"), n))
 
     def number(n: int) -> Column:
-        return F.when(is_deposit, slot_to_double(slot(data, n)))
+        return F.when(is_deposit, F.col(f"_n{n}"))
 
     return {
         "funds_deposited_data_input_token": address(0),
@@ -95,58 +114,77 @@ def deposit_columns(data: Column, is_deposit: Column) -> dict[str, Column]:
     }
 
 
-def _dynamic_array(data: Column, head_slot: int) -> tuple[Column, Column]:
-    """Slots of the array a head slot points to, and whether it lies inside the data."""
-    start = F.lit(3) + hex_to_bigint(slot(data, head_slot)) * F.lit(2)
-    safe_start = F.when((start >= 3) & (start < F.length(data)), start)
-    count = hex_to_bigint(F.substr(data, safe_start.cast("int"), F.lit(SLOT)))
-    room = F.floor((F.length(data) - safe_start + F.lit(1)) / F.lit(SLOT)) - F.lit(1)
-    inside = F.coalesce((count >= 0) & (count <= room), F.lit(False))
-    items = F.when(
-        inside & (count > 0),
-        F.transform(
-            F.sequence(F.lit(1), count.cast("int")),
-            lambda i: F.substr(data, safe_start.cast("int") + i * F.lit(SLOT), F.lit(SLOT)),
-        ),
-    ).when(inside, F.array().cast("array<string>"))
-    return items, inside
+def with_refund_arrays(logs: DataFrame, is_refund: Column) -> DataFrame:
+    """Adds ``_amounts`` and ``_addresses``: the slots of the two dynamic arrays.
+
+    A head slot holds the byte offset of the array, which starts with its
+    length. Each step is a projection of its own, so that it is computed once
+    per row and only for refund logs. An offset or length that leads outside
+    the data gives NULL.
+    """
+    data = F.col("_bytes")
+    length = F.octet_length(data)
+    heads = {"_amounts": 1, "_addresses": 3}
+
+    def cut(start: Column) -> Column:
+        return F.substr(data, start, F.lit(SLOT)).cast("string")
+
+    logs = logs.withColumns({f"{n}_offset": F.when(is_refund, hex_to_bigint(slot(data, h))) for n, h in heads.items()})
+    logs = logs.withColumns(
+        {
+            f"{n}_start": F.when(F.col(f"{n}_offset") < length, (F.col(f"{n}_offset") * 2 + 3).cast("int"))
+            for n in heads
+        }
+    )
+    logs = logs.withColumns({f"{n}_count": hex_to_bigint(cut(F.col(f"{n}_start"))) for n in heads})
+
+    def items(n: str) -> Column:
+        start, count = F.col(f"{n}_start"), F.col(f"{n}_count")
+        whole = count <= F.floor((length - start + 1) / SLOT) - 1
+        return F.when(whole & (count == 0), F.array().cast("array<string>")).when(
+            whole,
+            F.transform(F.sequence(F.lit(1), count.cast("int")), lambda i: cut(start + i * F.lit(SLOT))),
+        )
 
+    return logs.withColumns({n: items(n) for n in heads})
 
-def refund_columns(data: Column, is_refund: Column) -> dict[str, Column]:
-    """ExecutedRelayerRefundRoot: two dynamic arrays next to fixed slots.
 
-    As a strict ABI decoder would, any malformed part (offsets or lengths
-    outside the data, dirty address padding, a flag other than 0 or 1) makes
-    all five columns NULL.
+def with_refund_check(logs: DataFrame) -> DataFrame:
+    """Adds ``_well_formed``, true where a strict ABI decoder accepts the refund data.
+
+    Beside the arrays, address padding must be zero and the flag 0 or 1.
     """
-    amounts, amounts_inside = _dynamic_array(data, 1)
-    addresses, addresses_inside = _dynamic_array(data, 3)
-    token, flag, caller = slot(data, 2), slot(data, 4), slot(data, 5)
+    data, digits = F.col("data"), F.col("_bytes")
     well_formed = (
-        is_refund
+        F.col("_amounts").isNotNull()
+        & F.col("_addresses").isNotNull()
         & data.rlike("^0x[0-9a-fA-F]*$")
-        & (F.length(data) % 2 == 0)
-        & token.startswith(ADDRESS_PADDING)
-        & caller.startswith(ADDRESS_PADDING)
-        & flag.rlike("^0{63}[01]$")
-        & amounts_inside
-        & addresses_inside
-        & F.forall(addresses, lambda a: a.startswith(ADDRESS_PADDING))
+        & (F.octet_length(data) % 2 == 0)
+        & (slot(digits, 2, 0, 24) == ADDRESS_PADDING)
+        & (slot(digits, 5, 0, 24) == ADDRESS_PADDING)
+        & slot(digits, 4).rlike("^0{63}[01]$")
+        & F.forall("_addresses", lambda a: a.startswith(ADDRESS_PADDING))
     )
+    return logs.withColumn("_well_formed", well_formed)
+
+
+def refund_columns() -> dict[str, Column]:
+    """ExecutedRelayerRefundRoot: all five columns, or NULL in all of them."""
+    ok = F.col("_well_formed")
     return {
-        "amount_to_return": F.when(well_formed, slot_to_double(slot(data, 0))),
-        "l2_token_address": F.when(well_formed, F.lower(slot_to_address(token))),
-        "refund_amounts": F.when(well_formed, F.array_join(F.transform(amounts, slot_to_integer_text), ",")),
+        "amount_to_return": F.when(ok, F.col("_n0")),
+        "l2_token_address": F.when(ok, F.lower(slot_address(F.col("_bytes"), 2))),
+        "refund_amounts": F.when(ok, F.array_join(F.transform("_amounts", slot_to_integer_text), ",")),
         "refund_addresses": F.when(
-            well_formed, F.array_join(F.transform(addresses, lambda a: F.lower(slot_to_address(a))), ",")
+            ok, F.array_join(F.transform("_addresses", lambda a: F.lower(slot_to_address(a))), ",")
         ),
-        "refund_count": F.when(well_formed, F.size(amounts).cast("bigint")),
+        "refund_count": F.when(ok, F.size("_amounts").cast("bigint")),
     }
 
 
 def decode_logs(logs: DataFrame, sig: EventSignatures = EventSignatures()) -> DataFrame:
     """The 31 decoded columns, plus any lineage columns the input carries."""
-    event, data = F.col("topic_0"), F.col("data")
+    event = F.col("topic_0")
     columns = {
         "timestamp_datetime": hex_to_timestamp(F.col("timeStamp")),
         "transactionHash": F.col("transactionHash"),
@@ -154,12 +192,14 @@ def decode_logs(logs: DataFrame, sig: EventSignatures = EventSignatures()) -> Da
         "gas_price_wei": hex_to_bigint(F.col("gasPrice")),
         "gas_used": hex_to_bigint(F.col("gasUsed")),
         **topic_columns(sig),
-        **fill_columns(data, event == sig.filled_relay),
-        **deposit_columns(data, event == sig.funds_deposited),
-        **refund_columns(data, event == sig.executed_refund),
+        **fill_columns(event == sig.filled_relay),
+        **deposit_columns(event == sig.funds_deposited),
+        **refund_columns(),
     }
     kept = [c for c in logs.columns if c in ("blockchain", "source_file") or c.startswith("api_extracted")]
-    return split_topics(logs).select(*[columns[n].alias(n) for n in DECODED], *kept)
+    prepared = with_numbers(split_topics(logs), sig)
+    prepared = with_refund_check(with_refund_arrays(prepared, event == sig.executed_refund))
+    return prepared.select(*[columns[n].alias(n) for n in DECODED], *kept)
 
 
 def undecodable_logs(logs: DataFrame, known_chains: DataFrame) -> DataFrame:
