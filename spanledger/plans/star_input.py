@@ -163,11 +163,15 @@ def fill_base(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = order_base(spark, sf_dir)
     m = (F.col("l_partkey") * 7 + F.col("l_suppkey") * 13 + F.col("l_linenumber") * 101) % 1000
     price = F.pow(F.col("l_partkey") % 1000 + 1, F.lit(3)).cast("bigint") * 1000
+    # A fill pays out 0.1% to 1% less than the deposit, or 0.1% more.
+    tenths = F.round(F.col("l_discount") * 100)
     has_gas = F.round(F.col("l_tax") * 100) != 8
     return lines.join(orders, F.col("l_orderkey") == F.col("k")).withColumns(
         {
             "fill_epoch": F.col("deposit_epoch") + F.floor(m * m * m * m / F.lit(1000000000)) - 5,
-            "filled_cents": F.col("cents") - F.floor(F.col("cents") * F.round(F.col("l_discount") * 100) / 1000).cast("bigint"),
+            "filled_cents": F.when(tenths == 0, F.col("cents") + F.floor(F.col("cents") / 1000)).otherwise(
+                F.col("cents") - F.floor(F.col("cents") * tenths / 1000).cast("bigint")
+            ),
             "repayment_id": chain_id_at(F.col("refund_index")),
             "gas_price": F.when(has_gas, price),
             "gas_used": F.when(has_gas, F.col("l_suppkey") * 37 + 60000),

@@ -4,19 +4,22 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from spanledger.schemas import PRICE, PRICE_TEXT
 
 
-def read_prices(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(PRICE).option("header", True).csv(path)
-
-
 def read_prices_as_text(spark: SparkSession, path: str) -> DataFrame:
     """Uncast columns, for the price check."""
     return spark.read.schema(PRICE_TEXT).option("header", True).csv(path)
 
 
+def read_prices(spark: SparkSession, path: str) -> DataFrame:
+    """Typed prices. Casting accepts any ISO form of the time, down to microseconds."""
+    text = read_prices_as_text(spark, path)
+    return text.select(*[F.col(f.name).cast(f.dataType) for f in T.StructType.fromDDL(PRICE)])
+
+
 def write_prices(prices: DataFrame, path: str) -> None:
     """CSV sorted by token and time (a range partition, not one big task)."""
     (
