@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from spanledger.operators import marts, matching, staging, unify
 from spanledger.operators.decode import decode_logs
-from spanledger.sources.landing import fit_columns
+from spanledger.sources.landing import read_landing, refresh_landing
 
 # Layers kept as tables because several readers follow; the rest stay lazy.
 STORED = ["deposit_fill_matching", "general_overview", "fill_latency_analysis", "bridge_fee_analysis", "route_concentration_risk"]
@@ -29,8 +29,19 @@ class Bridge:
     match: DataFrame | None = None
 
     @classmethod
-    def from_raw(cls, raw_logs: DataFrame, chain_metadata: DataFrame, token_metadata: DataFrame, token_prices: DataFrame) -> Bridge:
-        return cls(fit_columns(decode_logs(raw_logs)), chain_metadata, token_metadata, token_prices)
+    def from_raw(
+        cls, raw_logs: DataFrame, folder: str, chain_metadata: DataFrame, token_metadata: DataFrame, token_prices: DataFrame
+    ) -> Bridge:
+        """Decode once into the landing table, then model from that.
+
+        Three models read the decoded logs with different filters; from Parquet
+        each reads only its own columns and row groups, while over raw logs
+        each would decode everything again.
+        """
+        path = f"{folder}/landed_logs"
+        refresh_landing(decode_logs(raw_logs), path)
+        landed = read_landing(raw_logs.sparkSession, path)
+        return cls(landed, chain_metadata, token_metadata, token_prices)
 
     @cached_property
     def hourly_prices(self) -> DataFrame:

@@ -21,6 +21,7 @@ from spanledger.operators import ingest, marts, quality
 from spanledger.operators import decode as D
 from spanledger.plans import oracles as O
 from spanledger.plans import star_input as S
+from spanledger.plans import stored
 from spanledger.plans.pipeline import Bridge
 from spanledger.schemas import LINEAGE
 from spanledger.session import configure, shared_folder
@@ -56,13 +57,17 @@ def _plain(df: DataFrame) -> DataFrame:
 
 def bridge(spark: SparkSession, sf_dir: str) -> Bridge:
     return Bridge(
-        S.landed_logs(spark, sf_dir), S.chain_metadata(spark, sf_dir), S.token_metadata(spark, sf_dir), S.token_prices(spark, sf_dir)
+        stored.landed_logs(spark, sf_dir), S.chain_metadata(spark, sf_dir), S.token_metadata(spark, sf_dir), S.token_prices(spark, sf_dir)
     )
 
 
 def raw_bridge(spark: SparkSession, sf_dir: str) -> Bridge:
     return Bridge.from_raw(
-        S.raw_logs(spark, sf_dir), S.chain_metadata(spark, sf_dir), S.token_metadata(spark, sf_dir), S.token_prices(spark, sf_dir)
+        stored.raw_logs(spark, sf_dir),
+        shared_folder(spark),
+        S.chain_metadata(spark, sf_dir),
+        S.token_metadata(spark, sf_dir),
+        S.token_prices(spark, sf_dir),
     )
 
 
@@ -181,7 +186,7 @@ def gas_cost_by_native_token(spark, sf_dir):
 )
 def decode_topics(spark, sf_dir):
     """Indexed fields of all three events."""
-    split = D.split_topics(S.raw_logs(spark, sf_dir))
+    split = D.split_topics(stored.raw_logs(spark, sf_dir))
     fields = D.topic_columns(D.EventSignatures())
     return split.select(F.col("transactionHash").alias("tx"), "topic_0", *[c.alias(n) for n, c in fields.items()])
 
@@ -194,7 +199,7 @@ def decode_topics(spark, sf_dir):
 )
 def decode_fill_data(spark, sf_dir):
     """Data slots, time and gas of fill logs."""
-    decoded = D.decode_logs(S.raw_logs(spark, sf_dir)).filter(F.col("topic_0") == C.FILLED_RELAY)
+    decoded = D.decode_logs(stored.raw_logs(spark, sf_dir)).filter(F.col("topic_0") == C.FILLED_RELAY)
     prefix = "filled_relay_data_"
     return decoded.select(
         F.col("transactionHash").alias("tx"),
@@ -213,7 +218,7 @@ def decode_fill_data(spark, sf_dir):
 )
 def decode_deposit_data(spark, sf_dir):
     """Data slots of deposit logs."""
-    decoded = D.decode_logs(S.raw_logs(spark, sf_dir)).filter(F.col("topic_0") == C.FUNDS_DEPOSITED)
+    decoded = D.decode_logs(stored.raw_logs(spark, sf_dir)).filter(F.col("topic_0") == C.FUNDS_DEPOSITED)
     prefix = "funds_deposited_data_"
     return decoded.select(
         F.col("transactionHash").alias("tx"),
@@ -227,7 +232,7 @@ def decode_deposit_data(spark, sf_dir):
 )
 def decode_refund_arrays(spark, sf_dir):
     """Dynamic arrays of refund logs, amounts exact to the last digit."""
-    decoded = D.decode_logs(S.raw_logs(spark, sf_dir)).filter(F.col("topic_0") == C.EXECUTED_REFUND)
+    decoded = D.decode_logs(stored.raw_logs(spark, sf_dir)).filter(F.col("topic_0") == C.EXECUTED_REFUND)
     return decoded.select(
         F.col("transactionHash").alias("tx"), "amount_to_return", "l2_token_address", "refund_amounts", "refund_addresses", "refund_count"
     )
@@ -281,7 +286,7 @@ _UNKNOWN = f"SELECT chain AS blockchain, 'unknown chain' AS reason, count(*)::BI
 )
 def undecodable_logs(spark, sf_dir):
     """Logs lost in decoding by reason, with refunds given an unknown signature and some deposit ids a full 256 bits."""
-    raw = S.raw_logs(spark, sf_dir)
+    raw = stored.raw_logs(spark, sf_dir)
     event = F.get("topics", F.lit(0))
     damaged = raw.withColumn(
         "topics",
@@ -304,7 +309,7 @@ def undecodable_logs(spark, sf_dir):
 )
 def lineage_columns(spark, sf_dir):
     """Chain and extraction window read off the file names, with rows per file."""
-    landed = S.landed_logs(spark, sf_dir).select(F.col("source_file").alias("f"))
+    landed = stored.landed_logs(spark, sf_dir).select(F.col("source_file").alias("f"))
     return logs.with_lineage(landed, F.col("f")).groupBy(*LINEAGE).agg(F.count("*").alias("row_count"))
 
 
@@ -351,7 +356,7 @@ def full_refresh_roundtrip(spark, sf_dir):
 @query(f"SELECT chain AS blockchain, {O.file_of('chain')} AS source_file, count(*)::BIGINT AS row_count FROM landed GROUP BY chain")
 def load_status(spark, sf_dir):
     """What is loaded per chain and file."""
-    return landing.load_status(S.landed_logs(spark, sf_dir))
+    return landing.load_status(stored.landed_logs(spark, sf_dir))
 
 
 @query(
@@ -493,7 +498,7 @@ def pending_receipts(spark, sf_dir):
 )
 def run_summary(spark, sf_dir):
     """Block range and gas coverage of a run."""
-    return ingest.run_summary(S.raw_logs(spark, sf_dir))
+    return ingest.run_summary(stored.raw_logs(spark, sf_dir))
 
 
 # ---- data quality --------------------------------------------------------------
@@ -543,7 +548,7 @@ def dq_duplicates(spark, sf_dir):
 )
 def dq_gas_coverage(spark, sf_dir):
     """Gas coverage of raw logs."""
-    return quality.gas_coverage(S.raw_logs(spark, sf_dir))
+    return quality.gas_coverage(stored.raw_logs(spark, sf_dir))
 
 
 @query(
@@ -612,14 +617,14 @@ def dq_receipts(spark, sf_dir):
 )
 def dq_transform_parity(spark, sf_dir):
     """Raw files against decoded ones, with one file missing and one short."""
-    raw = S.raw_logs(spark, sf_dir)
+    raw = stored.raw_logs(spark, sf_dir)
     kept = (F.col("blockchain") != "monad") & ((F.col("blockchain") != "linea") | (F.col("topic_0") != C.EXECUTED_REFUND))
-    return quality.transform_parity(raw, S.landed_logs(spark, sf_dir).filter(kept))
+    return quality.transform_parity(raw, stored.landed_logs(spark, sf_dir).filter(kept))
 
 
 def damaged_landed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Landed logs with faults: negative amounts, short addresses, no time, wrong chain."""
-    landed = S.landed_logs(spark, sf_dir)
+    landed = stored.landed_logs(spark, sf_dir)
     amount = F.col("filled_relay_data_input_amount")
     return landed.withColumns(
         {
@@ -679,7 +684,7 @@ def dq_completeness(spark, sf_dir):
 )
 def dq_duplicate_rows(spark, sf_dir):
     """Rows equal in every column, with one chain loaded twice for deposits."""
-    landed = S.landed_logs(spark, sf_dir)
+    landed = stored.landed_logs(spark, sf_dir)
     twice = landed.unionByName(landed.filter((F.col("blockchain") == "scroll") & (F.col("topic_0") == C.FUNDS_DEPOSITED)))
     return quality.duplicate_rows(twice).select(F.col("transactionHash").alias("tx"), "copies")
 
@@ -689,7 +694,7 @@ def dq_duplicate_rows(spark, sf_dir):
 )
 def dq_file_profile(spark, sf_dir):
     """Rows and time range of each file."""
-    return quality.file_profile(S.landed_logs(spark, sf_dir))
+    return quality.file_profile(stored.landed_logs(spark, sf_dir))
 
 
 _TABLE_SIDE = "chain <> 'base' AND (chain <> 'polygon' OR ev <> 'r')"
@@ -705,7 +710,7 @@ _TABLE_SIDE = "chain <> 'base' AND (chain <> 'polygon' OR ev <> 'r')"
 )
 def dq_reconcile(spark, sf_dir):
     """Files against the loaded table, with a chain missing, one short, one without a file, one with lost gas."""
-    landed = S.landed_logs(spark, sf_dir)
+    landed = stored.landed_logs(spark, sf_dir)
     chain = F.col("blockchain")
     table = landed.filter((chain != "base") & ((chain != "polygon") | (F.col("topic_0") != C.EXECUTED_REFUND))).withColumn(
         "gas_used", F.when(chain != "optimism", F.col("gas_used"))
@@ -749,7 +754,7 @@ def dq_unique_key(spark, sf_dir):
 )
 def dq_freshness(spark, sf_dir):
     """Age of the newest log of each chain at a given moment."""
-    return quality.source_freshness(S.landed_logs(spark, sf_dir), datetime(2024, 2, 2))
+    return quality.source_freshness(stored.landed_logs(spark, sf_dir), datetime(2024, 2, 2))
 
 
 @query(

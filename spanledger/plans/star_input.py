@@ -14,7 +14,6 @@ from pyspark.sql import functions as F
 from spanledger import constants as C
 from spanledger.schemas import LANDED
 from spanledger.sources.landing import fit_columns
-from spanledger.sources.logs import lineage_columns
 
 # Sixteen chains, the first eleven with a log feed: (name, chain id).
 CHAINS = [
@@ -52,7 +51,16 @@ WINDOW = ("2024-01-01", "2024-02-01")
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """A source table; one that the scan cannot split is spread over the cores.
+
+    A single small row group is one task otherwise. A table of many splits is
+    read as it is.
+    """
+    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    cores = spark.sparkContext.defaultParallelism
+    if name in ("orders", "lineitem") and df.rdd.getNumPartitions() < cores:
+        return df.repartition(cores)
+    return df
 
 
 def _pick(values: list, index: Column) -> Column:
@@ -209,8 +217,15 @@ def _refund_hash() -> Column:
     return F.concat(F.lit("0xe"), _hex(F.col("k"), 63))
 
 
-def _file(chain: Column) -> Column:
-    return F.concat(F.lit("logs_"), chain, F.lit(f"_{WINDOW[0]}_to_{WINDOW[1]}_processed.parquet"))
+def _lineage(index: str) -> dict[str, Column]:
+    """Lineage of a log on the chain at an index: one file per chain."""
+    chain = chain_name_at(F.col(index))
+    return {
+        "blockchain": chain,
+        "api_extracted_start_date": F.lit(WINDOW[0]),
+        "api_extracted_end_date": F.lit(WINDOW[1]),
+        "source_file": F.concat(F.lit("logs_"), chain, F.lit(f"_{WINDOW[0]}_to_{WINDOW[1]}_processed.parquet")),
+    }
 
 
 def _output_token(chain_id: Column) -> Column:
@@ -232,9 +247,9 @@ def landed_deposits(spark: SparkSession, sf_dir: str) -> DataFrame:
         _raw_double(F.col("cents")).alias("funds_deposited_data_input_amount"),
         _raw_double(F.col("expected_cents")).alias("funds_deposited_data_output_amount"),
         address(F.col("o_custkey") + 1).alias("funds_deposited_data_recipient"),
-        _file(chain_name_at(F.col("origin_index"))).alias("file_name"),
+        *[c.alias(n) for n, c in _lineage("origin_index").items()],
     )
-    return fit_columns(rows.withColumns(lineage_columns(F.col("file_name"))))
+    return fit_columns(rows)
 
 
 def landed_fills(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -255,9 +270,9 @@ def landed_fills(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit(C.ZERO_ADDRESS).alias("filled_relay_data_exclusive_relayer"),
         address(F.col("o_custkey")).alias("filled_relay_data_depositor"),
         address(F.col("o_custkey") + 1).alias("filled_relay_data_recipient"),
-        _file(chain_name_at(F.col("destination_index"))).alias("file_name"),
+        *[c.alias(n) for n, c in _lineage("destination_index").items()],
     )
-    return fit_columns(rows.withColumns(lineage_columns(F.col("file_name"))))
+    return fit_columns(rows)
 
 
 def landed_refunds(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -276,9 +291,9 @@ def landed_refunds(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.array_join(amounts, ",").alias("refund_amounts"),
         F.array_join(F.transform("lines", lambda x: address(x["l_suppkey"])), ",").alias("refund_addresses"),
         F.size("lines").alias("refund_count"),
-        _file(chain_name_at(F.col("refund_index"))).alias("file_name"),
+        *[c.alias(n) for n, c in _lineage("refund_index").items()],
     )
-    return fit_columns(rows.withColumns(lineage_columns(F.col("file_name"))))
+    return fit_columns(rows)
 
 
 def landed_logs(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -323,8 +338,7 @@ def _quantity(n: Column) -> Column:
 
 def _raw_log(rows: DataFrame, chain_index: str, epoch: Column, tx: Column, index: Column, price: Column, used: Column,
              signature: str, topics: list[Column], data: list[Column]) -> DataFrame:
-    chain = chain_name_at(F.col(chain_index))
-    named = rows.select(
+    return rows.select(
         address(F.col(chain_index) + 4096).alias("address"),
         F.array(F.lit(signature), *[_topic(t) for t in topics]).alias("topics"),
         F.concat(F.lit("0x"), *data).alias("data"),
@@ -334,9 +348,8 @@ def _raw_log(rows: DataFrame, chain_index: str, epoch: Column, tx: Column, index
         _quantity(used).alias("gasUsed"),
         _quantity(index).alias("logIndex"),
         tx.alias("transactionHash"),
-        _file(chain).alias("file_name"),
+        *[c.alias(n) for n, c in _lineage(chain_index).items()],
     )
-    return named.withColumns(lineage_columns(F.col("file_name"))).drop("file_name")
 
 
 def raw_deposits(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -23,11 +23,10 @@ def read_prices(spark: SparkSession, path: str) -> DataFrame:
 def write_prices(prices: DataFrame, path: str) -> None:
     """CSV sorted by token and time (a range partition, not one big task)."""
     (
-        prices.select("token_symbol", "timestamp", "price_usd")
+        prices.select("token_symbol", F.col("timestamp").cast("timestamp").cast("string").alias("timestamp"), "price_usd")
         .orderBy("token_symbol", "timestamp")
         .write.mode("overwrite")
         .option("header", True)
-        .option("timestampFormat", "yyyy-MM-dd HH:mm:ss.SSSSSS")
         .csv(path)
     )
 
