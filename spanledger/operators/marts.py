@@ -14,8 +14,25 @@ GRAIN = ["deposit_minute", "origin_chain_id", "destination_chain_id", "route_id"
 LABELS = ["origin_chain_name", "destination_chain_name", "route_name", "token_symbol", "base_token_symbol"]
 
 
+# Stands for "no time" while rows are grouped and joined: a NULL key would be
+# lost in the joins below. The other keys of the grain are never NULL.
+NO_TIME = "0001-01-01 00:00:00"
+
+
 def with_minute(match: DataFrame) -> DataFrame:
-    return match.withColumn("deposit_minute", F.date_trunc("minute", "deposit_timestamp"))
+    minute = F.date_trunc("minute", "deposit_timestamp")
+    return match.withColumn("deposit_minute", F.coalesce(minute, F.lit(NO_TIME).cast("timestamp")))
+
+
+def with_distinct_counts(metrics: DataFrame, rows: DataFrame, counted: dict[str, Column]) -> DataFrame:
+    """Joins exact distinct counts per grain to the other metrics.
+
+    Counted apart, since several distinct counts multiply the rows they are
+    computed from, and here those rows are the keys and addresses alone. Both
+    sides end up partitioned by the grain, so the join moves nothing.
+    """
+    counts = rows.groupBy(*GRAIN).agg(*[F.count_distinct(c).alias(n) for n, c in counted.items()])
+    return metrics.join(counts, GRAIN)
 
 
 def base_symbol(symbol: Column) -> Column:
@@ -39,6 +56,7 @@ def with_labels(metrics: DataFrame, chain_metadata: DataFrame, token_metadata: D
     )
     return df.drop("_chain_id", "_address").withColumns(
         {
+            "deposit_minute": F.nullif("deposit_minute", F.lit(NO_TIME).cast("timestamp")),
             "route_name": F.concat("origin_chain_name", F.lit(" → "), "destination_chain_name"),
             "base_token_symbol": base_symbol(F.col("token_symbol")),
         }
@@ -66,9 +84,9 @@ def _percentile(col: Column, p: float, places: int) -> Column:
 
 def general_overview(match: DataFrame, chain_metadata: DataFrame, token_metadata: DataFrame) -> DataFrame:
     """Volumes, activity, fill rate, latency and fees per minute, route and token."""
+    rows = with_minute(match)
     metrics = (
-        with_minute(match)
-        .groupBy(*GRAIN)
+        rows.groupBy(*GRAIN)
         .agg(
             F.count("*").alias("total_deposits"),
             _fills().alias("total_fills"),
@@ -76,8 +94,6 @@ def general_overview(match: DataFrame, chain_metadata: DataFrame, token_metadata
             F.sum(F.coalesce(_when_filled("actual_output_amount"), F.lit(0.0))).alias("total_filled_volume"),
             exact_sum(F.col("deposit_amount_usd")).alias("total_deposit_volume_usd"),
             exact_sum(F.coalesce(_when_filled("fill_amount_usd"), F.lit(0.0))).alias("total_filled_volume_usd"),
-            F.count_distinct("depositor_address").alias("unique_depositors"),
-            F.count_distinct(_when_filled("relayer_address")).alias("unique_relayers"),
             _fill_rate().alias("fill_rate_pct"),
             round_half_up(F.avg(_when_filled("fill_latency_seconds")), 2).alias("avg_fill_latency_seconds"),
             _percentile(_when_filled("fill_latency_seconds"), 0.5, 2).alias("median_fill_latency_seconds"),
@@ -86,6 +102,11 @@ def general_overview(match: DataFrame, chain_metadata: DataFrame, token_metadata
             round_half_up(F.avg(_when_filled("slippage_percent")), 4).alias("avg_slippage_pct"),
         )
     )
+    metrics = with_distinct_counts(
+        metrics,
+        rows,
+        {"unique_depositors": F.col("depositor_address"), "unique_relayers": _when_filled("relayer_address")},
+    )
     return with_labels(metrics, chain_metadata, token_metadata).select(
         "deposit_minute",
         "origin_chain_id",
@@ -117,9 +138,9 @@ def general_overview(match: DataFrame, chain_metadata: DataFrame, token_metadata
 def fill_latency_analysis(match: DataFrame, chain_metadata: DataFrame, token_metadata: DataFrame) -> DataFrame:
     """Time to fill per minute, route and token, with speed buckets and a gap status."""
     seconds = _when_filled("fill_latency_seconds")
+    rows = with_minute(match)
     metrics = (
-        with_minute(match)
-        .groupBy(*GRAIN)
+        rows.groupBy(*GRAIN)
         .agg(
             F.count("*").alias("total_deposits"),
             _fills().alias("total_fills"),
@@ -136,9 +157,9 @@ def fill_latency_analysis(match: DataFrame, chain_metadata: DataFrame, token_met
             F.count_if(seconds > C.VERY_SLOW_SECONDS).alias("very_slow_fill_count"),
             exact_sum(F.col("deposit_amount_usd")).alias("total_deposit_volume_usd"),
             exact_sum(F.coalesce(_when_filled("fill_amount_usd"), F.lit(0.0))).alias("total_filled_volume_usd"),
-            F.count_distinct(_when_filled("relayer_address")).alias("unique_relayers"),
         )
     )
+    metrics = with_distinct_counts(metrics, rows, {"unique_relayers": _when_filled("relayer_address")})
     buckets = ["instant", "fast", "slow", "very_slow"]
     insights = metrics.withColumns(
         {f"{b}_fill_pct": percent_of(F.col(f"{b}_fill_count"), F.col("total_fills"), 2) for b in buckets}
@@ -192,14 +213,17 @@ def bridge_fee_analysis(match: DataFrame, chain_metadata: DataFrame, token_metad
         round_half_up(F.max(fee_pct), 4).alias("max_fee_pct"),
         round_half_up(F.avg(slippage), 4).alias("avg_slippage_pct"),
         _percentile(slippage, 0.5, 4).alias("median_slippage_pct"),
-        F.count_distinct("depositor_address").alias("unique_depositors"),
-        F.count_distinct("relayer_address").alias("unique_relayers"),
         round_half_up(F.avg(F.col("gas_price_wei").cast("decimal(19,0)")).cast("double") / 1e9, 4).alias("avg_gas_price_gwei"),
         round_half_up(gas_total / 1e18, 8).alias("total_gas_cost_native"),
         round_half_up(gas_total / F.nullif(F.count("gas_cost_wei"), F.lit(0)) / 1e18, 8).alias("avg_gas_cost_native"),
         exact_sum(gas_usd).alias("total_gas_cost_usd"),
         round_half_up(exact_sum(gas_usd) / F.nullif(F.count(gas_usd), F.lit(0)), 4).alias("avg_gas_cost_usd"),
     )
+    metrics = with_distinct_counts(
+        metrics,
+        filled,
+        {"unique_depositors": F.col("depositor_address"), "unique_relayers": F.col("relayer_address")},
+    )
     median_gas = grouped_median(filled, GRAIN, "gas_price_wei", "_median_gas_price")
     insights = metrics.join(median_gas, GRAIN, "left").withColumns(
         {

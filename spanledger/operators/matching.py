@@ -22,9 +22,9 @@ def pair_deposits_with_fills(deposits: DataFrame, fills: DataFrame) -> DataFrame
 
     Written as filled (inner) plus unfilled (anti): an adaptive skew join may
     split either side of an inner join but never the right side of a left
-    join, and it is the fills of one deposit that can pile up. Both parts use
-    one shuffle of the deposits, and the anti side is reduced to distinct keys
-    before it moves.
+    join, and it is the fills of one deposit that can pile up. The price is a
+    second shuffle of the deposits; the fills take part in it with their
+    distinct keys only, and the unfilled branch enriches only what it keeps.
     """
     left = deposits.select(
         "deposit_timestamp",
@@ -41,7 +41,7 @@ def pair_deposits_with_fills(deposits: DataFrame, fills: DataFrame) -> DataFrame
         F.col("input_amount").alias("deposit_amount"),
         F.col("output_amount").alias("expected_output_amount"),
         F.col("input_token_price_usd").alias("deposit_token_price_usd"),
-    )
+    ).dropna(subset=MATCH_KEY)
     right = fills.select(
         *MATCH_KEY,
         "fill_timestamp",

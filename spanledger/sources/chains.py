@@ -12,7 +12,7 @@ from spanledger.schemas import CHAIN_CONFIG
 
 def read_chain_config(spark: SparkSession, path: str) -> DataFrame:
     """The nested config file as one row per chain: name plus its settings."""
-    text = spark.read.option("wholetext", True).text(path)
+    text = spark.read.text(path, wholetext=True)
     return config_rows(text.select(F.col("value").alias("config")))
 
 
