@@ -53,7 +53,7 @@ def main() -> None:
     spark = local_session(cpus, "spanledger-bench")
     start = time.perf_counter()
     stored.raw_logs(spark, sf_dir)
-    stored.landed_logs(spark, sf_dir)
+    stored.bridge_over_match(spark, sf_dir)
     setup = time.perf_counter() - start
     times = {name: round(min(timed(spark, name, sf_dir) for _ in range(2)), 3) for name in HEADLINE}
     print(

@@ -181,8 +181,8 @@ _GRAIN = "deposit_minute, origin_chain_id, destination_chain_id, route_id, depos
 _FILL_RATE = rnd("count(*) FILTER (WHERE is_filled)::DOUBLE / count(*) * 100", 2)
 
 CTES["general_overview"] = f"""SELECT {_GRAIN}, {_LABELS}, count(*)::BIGINT AS total_deposits,
-    (count(*) FILTER (WHERE is_filled))::BIGINT AS total_fills, {rnd('sum(deposit_amount)', 4)} AS total_deposit_volume,
-    {rnd('sum(CASE WHEN is_filled THEN actual_output_amount ELSE 0 END)', 4)} AS total_filled_volume,
+    (count(*) FILTER (WHERE is_filled))::BIGINT AS total_fills, {rnd('sum(deposit_amount)', 2)} AS total_deposit_volume,
+    {rnd('sum(CASE WHEN is_filled THEN actual_output_amount ELSE 0 END)', 2)} AS total_filled_volume,
     {money_sum('deposit_amount_usd')} AS total_deposit_volume_usd,
     {money_sum('CASE WHEN is_filled THEN fill_amount_usd ELSE 0 END')} AS total_filled_volume_usd,
     count(DISTINCT depositor_address)::BIGINT AS unique_depositors,
@@ -215,7 +215,7 @@ CTES["fill_latency_analysis"] = (
 
 _FEE_USD = "bridge_fee_nominal * coalesce(deposit_token_price_usd, 1)"
 CTES["fee"] = f"""SELECT {_GRAIN}, {_LABELS}, count(*)::BIGINT AS total_fills, {money_sum('deposit_amount_usd')} AS total_deposit_volume_usd,
-    {money_sum('fill_amount_usd')} AS total_filled_volume_usd, {rnd(f'sum({_FEE_USD})', 4)} AS total_fees_usd,
+    {money_sum('fill_amount_usd')} AS total_filled_volume_usd, {rnd(f'sum({_FEE_USD})', 2)} AS total_fees_usd,
     {rnd(f"sum({_FEE_USD}) / nullif({money_sum('deposit_amount_usd')}, 0) * 100", 4)} AS effective_fee_pct,
     {rnd('avg(bridge_fee_percent)', 4)} AS avg_fee_pct, {rnd('quantile_cont(bridge_fee_percent, 0.5)', 4)} AS median_fee_pct,
     {rnd('stddev_samp(bridge_fee_percent)', 4)} AS fee_std_dev, {rnd('min(bridge_fee_percent)', 4)} AS min_fee_pct,

@@ -6,6 +6,7 @@ from dataclasses import dataclass
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from spanledger.operators import marts, matching, staging, unify
 from spanledger.operators.decode import decode_logs
@@ -110,16 +111,12 @@ class Bridge:
         ):
             getattr(self, name).createOrReplaceTempView(name)
 
-    def store(self, spark: SparkSession, folder: str) -> Bridge:
-        """Write the match once, then the marts from it.
+    def write_match(self, path: str) -> None:
+        """The match as a table partitioned by deposit day.
 
-        The match is clustered by deposit day through the rebalance on its
-        partition column, which the adaptive planner splits where a day is
-        large, so dashboards read only the days they show.
+        The rebalance gathers a day into few files and lets the adaptive
+        planner split a large day, so dashboards read only the days they show.
         """
-        from pyspark.sql import functions as F
-
-        path = f"{folder}/deposit_fill_matching"
         (
             self.deposit_fill_matching.withColumn("deposit_date", F.to_date("deposit_timestamp"))
             .hint("rebalance", "deposit_date")
@@ -128,9 +125,20 @@ class Bridge:
             .partitionBy("deposit_date")
             .parquet(path)
         )
-        stored = Bridge(
-            self.landed, self.chain_metadata, self.token_metadata, self.token_prices, spark.read.parquet(path).drop("deposit_date")
-        )
+
+    def over_match(self, spark: SparkSession, path: str) -> Bridge:
+        """The same models with the marts reading a stored match.
+
+        A mart aggregates the match in several narrow passes; each is a scan of
+        its own columns there, instead of the whole match computed again.
+        """
+        match = spark.read.parquet(path).drop("deposit_date")
+        return Bridge(self.landed, self.chain_metadata, self.token_metadata, self.token_prices, match)
+
+    def store(self, spark: SparkSession, folder: str) -> Bridge:
+        """Write the match once, then the marts from it."""
+        self.write_match(f"{folder}/deposit_fill_matching")
+        stored = self.over_match(spark, f"{folder}/deposit_fill_matching")
         for name in STORED[1:]:
             getattr(stored, name).write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(f"{folder}/{name}")
         return stored

@@ -55,10 +55,8 @@ def _plain(df: DataFrame) -> DataFrame:
     return df.select(*casts)
 
 
-def bridge(spark: SparkSession, sf_dir: str) -> Bridge:
-    return Bridge(
-        stored.landed_logs(spark, sf_dir), S.chain_metadata(spark, sf_dir), S.token_metadata(spark, sf_dir), S.token_prices(spark, sf_dir)
-    )
+bridge = stored.bridge
+bridge_over_match = stored.bridge_over_match
 
 
 def raw_bridge(spark: SparkSession, sf_dir: str) -> Bridge:
@@ -117,8 +115,10 @@ _register_model("deposit_fill_matching", O._model("deposit_fill_matching"))
 
 
 def _register_mart(name: str, model: str, oracle: str, columns: list[str]) -> None:
+    """``columns`` are sums of doubles: shown to the cent, as their last digits depend on the order of rows."""
+
     def run(spark, sf_dir):
-        return _rounded(marts.presented(getattr(bridge(spark, sf_dir), model)), columns, 4)
+        return _rounded(marts.presented(getattr(bridge_over_match(spark, sf_dir), model)), columns, 2)
 
     run.__doc__ = f"The mart ``{model}`` in dashboard order."
     query(oracle, name)(run)
@@ -137,8 +137,11 @@ _register_mart("mart_route_concentration", "route_concentration_risk", _CONCENTR
 
 @query(O._model("general_overview"))
 def raw_to_general_overview(spark, sf_dir):
-    """The whole chain: raw hex logs, decoded, staged, unified, matched, aggregated."""
-    return _rounded(raw_bridge(spark, sf_dir).general_overview, ["total_deposit_volume", "total_filled_volume"], 4)
+    """The whole chain: raw hex logs, decoded and landed, staged, unified, matched and stored, aggregated."""
+    path = shared_folder(spark) + "/match"
+    lazy = raw_bridge(spark, sf_dir)
+    lazy.write_match(path)
+    return _rounded(lazy.over_match(spark, path).general_overview, ["total_deposit_volume", "total_filled_volume"], 2)
 
 
 @query(_CONCENTRATION)
@@ -150,7 +153,7 @@ def stored_match_to_concentration(spark, sf_dir):
 @query("SELECT latency_tier, count(*)::BIGINT AS fills FROM deposit_fill_matching GROUP BY latency_tier")
 def latency_tiers(spark, sf_dir):
     """How many match rows fall in each latency tier (NULL: unfilled)."""
-    return bridge(spark, sf_dir).deposit_fill_matching.groupBy("latency_tier").agg(F.count("*").alias("fills"))
+    return bridge_over_match(spark, sf_dir).deposit_fill_matching.groupBy("latency_tier").agg(F.count("*").alias("fills"))
 
 
 @query(
@@ -160,7 +163,7 @@ def latency_tiers(spark, sf_dir):
 )
 def gas_cost_by_native_token(spark, sf_dir):
     """Gas cost of all fills by the native token that paid for it."""
-    match = bridge(spark, sf_dir).deposit_fill_matching.filter("is_filled")
+    match = bridge_over_match(spark, sf_dir).deposit_fill_matching.filter("is_filled")
     native = chains.native_tokens(spark).withColumnRenamed("chain_id", "destination_chain_id")
     return (
         match.join(native, "destination_chain_id")
@@ -723,7 +726,7 @@ _REPORTS = ["deposit_fill_matching", "general_overview", "fill_latency_analysis"
 
 
 def _model_reports(spark: SparkSession, sf_dir: str, models: list[str]) -> DataFrame:
-    b = bridge(spark, sf_dir)
+    b = bridge_over_match(spark, sf_dir) if models == _REPORTS else bridge(spark, sf_dir)
     return reduce(DataFrame.unionByName, [quality.model_report(getattr(b, m), m) for m in models])
 
 
@@ -763,7 +766,7 @@ def dq_freshness(spark, sf_dir):
 )
 def dq_negative_fees(spark, sf_dir):
     """Routes and tokens with negative fees."""
-    return _rounded(quality.negative_bridge_fees(bridge(spark, sf_dir).deposit_fill_matching), ["total_negative_usd"], 2)
+    return _rounded(quality.negative_bridge_fees(bridge_over_match(spark, sf_dir).deposit_fill_matching), ["total_negative_usd"], 2)
 
 
 @query(

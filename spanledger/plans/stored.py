@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from spanledger.plans import star_input as S
+from spanledger.plans.pipeline import Bridge
 from spanledger.schemas import LINEAGE, RAW_LOG
 from spanledger.session import shared_folder
 from spanledger.sources import landing, logs
@@ -33,6 +34,19 @@ def _once(spark: SparkSession, sf_dir: str, name: str, write) -> str:
     return path
 
 
+def bridge(spark: SparkSession, sf_dir: str) -> Bridge:
+    """The lazy models over the landing table."""
+    return Bridge(
+        landed_logs(spark, sf_dir), S.chain_metadata(spark, sf_dir), S.token_metadata(spark, sf_dir), S.token_prices(spark, sf_dir)
+    )
+
+
+def bridge_over_match(spark: SparkSession, sf_dir: str) -> Bridge:
+    """The models with the match stored once."""
+    lazy = bridge(spark, sf_dir)
+    return lazy.over_match(spark, _once(spark, sf_dir, "match", lazy.write_match))
+
+
 def raw_logs(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = _once(spark, sf_dir, "raw", lambda p: logs.write_raw_logs(S.raw_logs(spark, sf_dir), p))
     fields = ", ".join(f"{n} {t}" for n, t in LINEAGE.items())
