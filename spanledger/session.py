@@ -1,16 +1,19 @@
-"""Session settings the operators rely on."""
+"""Session settings the operators rely on, and folders for tables that later steps read."""
 
 from __future__ import annotations
 
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Runtime-settable, so they can also be applied to a session made elsewhere.
 # Shuffle partitions and the broadcast limit are left to the cluster's own
 # configuration: AQE coalesces, splits skewed partitions and re-plans joins.
+# ANSI is pinned because strict casts must raise rather than give NULL.
 RUNTIME_SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
+    "spark.sql.ansi.enabled": "true",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
@@ -18,7 +21,7 @@ RUNTIME_SETTINGS = {
 
 
 def configure(spark: SparkSession) -> SparkSession:
-    """Apply the settings the results depend on (UTC) and adaptive planning."""
+    """Apply the settings the results depend on (UTC, ANSI) and adaptive planning."""
     for key, value in RUNTIME_SETTINGS.items():
         spark.conf.set(key, value)
     return spark
@@ -39,15 +42,41 @@ def local_session(cpus: int | str = "*", app: str = "spanledger") -> SparkSessio
     return configure(spark)
 
 
+def _one_machine(master: str) -> bool:
+    return master == "local" or master.startswith("local[")
+
+
 def shared_folder(spark: SparkSession) -> str:
-    """A new folder for tables that later steps read back.
+    """A new folder for tables that later steps read back, removed when the application ends.
 
     A cluster names a folder every executor can reach in
-    ``spark.checkpoint.dir``; only where it is unset (tests, one machine) is a
-    local folder made.
+    ``spark.checkpoint.dir``. Without it a local folder is made, but only on a
+    single machine: elsewhere each executor would write to its own disk, so
+    that case raises.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if base:
-        jvm = spark.sparkContext._jvm
-        return f"{base.rstrip('/')}/spanledger-{jvm.java.util.UUID.randomUUID()}"
-    return tempfile.mkdtemp(prefix="spark-", dir="/tmp")
+        path = f"{base.rstrip('/')}/spanledger-{uuid.uuid4()}"
+    elif _one_machine(spark.sparkContext.master):
+        path = tempfile.mkdtemp(prefix="spark-", dir="/tmp")
+    else:
+        raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    files = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    files.mkdirs(folder)
+    files.deleteOnExit(folder)
+    return path
+
+
+def discard(spark: SparkSession, path: str) -> None:
+    """Remove a folder made by ``shared_folder`` before the application ends."""
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+def stored(df: DataFrame, path: str | None = None) -> DataFrame:
+    """``df`` written as Parquet to a shared folder and read back: its lineage is cut."""
+    spark = df.sparkSession
+    path = path or shared_folder(spark)
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
