@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from spanledger.llm import byte_bpe, language, main_text, quality, sharding, warc
+from spanledger.llm import bag_minhash, byte_bpe, language, main_text, positional_index, quality, sharding, warc
 
 RANKS = "byte_bpe_multi_50k.tiktoken"
 SHARDS = 24
@@ -21,6 +21,30 @@ def fold(parts: int) -> Column:
     return F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(parts))
 
 
+def op2_positional_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with its words inside 10-word windows of benchmark items."""
+    items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    found = positional_index.contaminated_documents(documents(spark, sf_dir), items, F.col("doc_id"))
+    columns = ["n_words", "n_hit", "n_items", "items_sha256", "contaminated"]
+    return found.select(F.col("key").cast("bigint").alias("doc_id"), *columns)
+
+
+OP2_SQL = r"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, list_filter(string_split_regex(translate(coalesce(text, ''),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^0-9a-z\x{80}-\x{10FFFF}]+'), lambda x: x <> '') AS w FROM documents),
+b AS (SELECT item_id, list_filter(string_split_regex(translate(coalesce(text, ''),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^0-9a-z\x{80}-\x{10FFFF}]+'), lambda x: x <> '') AS w FROM benchmark),
+win AS (SELECT DISTINCT item_id, list_slice(w, i, i + 9) AS p FROM (SELECT item_id, w, unnest(range(1, greatest(len(w) - 8, 2))) AS i FROM b WHERE len(w) > 0)),
+sizes AS (SELECT DISTINCT len(p) AS n FROM win),
+places AS (SELECT r, n, i, list_slice(w, i, i + n - 1) AS p FROM (SELECT r, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM d, sizes WHERE len(w) >= n)),
+hits AS (SELECT r, n, i, item_id FROM places JOIN win USING (p)),
+covered AS (SELECT r, count(DISTINCT k) AS n_hit FROM (SELECT DISTINCT r, unnest(range(i, i + n)) AS k FROM (SELECT DISTINCT r, n, i FROM hits)) GROUP BY r),
+named AS (SELECT r, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items FROM (SELECT DISTINCT r, item_id::VARCHAR AS item FROM hits) GROUP BY r)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
+    sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN covered USING (r) LEFT JOIN named USING (r)"""
+
+
 def op3_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Main text of every page."""
     return main_text.extract(spark.read.parquet(f"{sf_dir}/pages.parquet"))
@@ -48,6 +72,13 @@ def quality_model(spark: SparkSession, sf_dir: str, docs: DataFrame) -> quality.
     return quality.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"), fold(5) != 0)
 
 
+def op6_bag_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Class of near-duplicates of every document, and whether it is the one that stays."""
+    rows = bag_minhash.near_duplicates(documents(spark, sf_dir))
+    stays = F.col("doc_id").eqNullSafe(F.col("class_id")) & (F.col("digest") == F.col("class_digest"))
+    return rows.select("doc_id", "class_id", "class_rows", stays.alias("stays"))
+
+
 def op7_rule_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality score of every document."""
     docs = documents(spark, sf_dir)
@@ -72,11 +103,13 @@ def op10_warc_derivatives(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op2_positional_index": op2_positional_index,
     "op3_main_text": op3_main_text,
     "op4_hash_tree_shards": op4_hash_tree_shards,
     "op5_byte_bpe": op5_byte_bpe,
+    "op6_bag_minhash": op6_bag_minhash,
     "op7_rule_quality": op7_rule_quality,
     "op9_cross_parsing": op9_cross_parsing,
     "op10_warc_derivatives": op10_warc_derivatives,
 }
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op2_positional_index": OP2_SQL}
