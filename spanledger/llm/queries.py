@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from spanledger.llm import bag_minhash, byte_bpe, language, main_text, positional_index, quality, sharding, warc
+from spanledger.llm import bag_minhash, byte_bpe, language, main_text, neighbours, positional_index, quality, sharding, warc
 
 RANKS = "byte_bpe_multi_50k.tiktoken"
 SHARDS = 24
@@ -87,6 +87,12 @@ def op7_rule_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.withColumn("predicted", F.when(F.col("score") >= quality.THRESHOLD, 1).otherwise(0).cast("int"))
 
 
+def op8_nn_descent(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The five nearest vectors of every fiftieth one."""
+    vectors = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
+    return neighbours.nearest(vectors, F.col("vec_id") % 50 == 0)
+
+
 def op9_cross_parsing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Language of every document."""
     docs = documents(spark, sf_dir)
@@ -109,6 +115,7 @@ QUERIES = {
     "op5_byte_bpe": op5_byte_bpe,
     "op6_bag_minhash": op6_bag_minhash,
     "op7_rule_quality": op7_rule_quality,
+    "op8_nn_descent": op8_nn_descent,
     "op9_cross_parsing": op9_cross_parsing,
     "op10_warc_derivatives": op10_warc_derivatives,
 }
