@@ -20,6 +20,8 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from spanledger.llm.columns import let
+
 SAMPLE_ROWS = 20_000
 THRESHOLD = 0.3
 TREES, DEPTH, BINS, SHRINK = 40, 3, 48, 0.3
@@ -31,11 +33,6 @@ NAMES = [
 ]
 
 
-def _let(value: Column, body) -> Column:
-    """``body`` of a value that is computed once, also where the optimizer copies the expression."""
-    return F.element_at(F.transform(F.array(value), body), 1)
-
-
 def _share(part: Column, whole: Column) -> Column:
     return F.coalesce(F.try_divide(part.cast("double"), whole.cast("double")), F.lit(0.0))
 
@@ -63,7 +60,7 @@ def statistics(text: Column) -> Column:
     full = F.coalesce(text, F.lit(""))
     words = F.filter(F.split(full, r"[ \t\r\n]+"), lambda w: w != "")
     parts = F.struct(full.alias("t"), words.alias("words"), F.split(full, "\n").alias("lines"))
-    return _let(parts, over)
+    return let(parts, over)
 
 
 @dataclass(frozen=True)
@@ -89,7 +86,7 @@ class RuleModel:
                 out = out + F.when(_all(holds), F.lit(r.weight)).otherwise(F.lit(0.0))
             return F.lit(1.0) / (F.lit(1.0) + F.exp(-out))
 
-        return _let(statistics(text), total)
+        return let(statistics(text), total)
 
 
 def _all(conditions: list[Column]) -> Column:

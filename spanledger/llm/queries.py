@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from spanledger.llm import bag_minhash, byte_bpe, language, main_text, neighbours, positional_index, quality, sharding, warc
+from spanledger.llm import bag_minhash, byte_bpe, language, licences, main_text, neighbours, positional_index, quality, sharding, warc
 
 RANKS = "byte_bpe_multi_50k.tiktoken"
 SHARDS = 24
@@ -21,6 +21,11 @@ def fold(parts: int) -> Column:
     return F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(parts))
 
 
+def op1_licence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licence of every document, its own or that of the nearest directory above."""
+    return licences.inherit(licences.scan(documents(spark, sf_dir), licences.source_path()))
+
+
 def op2_positional_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with its words inside 10-word windows of benchmark items."""
     items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
@@ -109,6 +114,7 @@ def op10_warc_derivatives(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_licence_scan": op1_licence_scan,
     "op2_positional_index": op2_positional_index,
     "op3_main_text": op3_main_text,
     "op4_hash_tree_shards": op4_hash_tree_shards,
