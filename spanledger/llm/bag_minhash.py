@@ -35,7 +35,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from spanledger.llm import words
-from spanledger.session import discard, shared_folder, stored
+from spanledger.llm.batches import map_batches
+from spanledger.session import stored
 
 SHINGLE, SIMILAR = 5, 0.8
 BANDS, ROWS = 32, 6
@@ -191,7 +192,7 @@ def sign(docs: DataFrame) -> DataFrame:
                     ["digest", "weight", "keys", "sketch"],
                 )
 
-    return docs.select(digest(F.col("text")).alias("digest"), F.coalesce("text", F.lit("")).alias("text")).mapInArrow(batches, SIGNATURE)
+    return map_batches(docs.select(digest(F.col("text")).alias("digest"), F.coalesce("text", F.lit("")).alias("text")), batches, SIGNATURE)
 
 
 def _pairs(members: DataFrame, asked: DataFrame) -> DataFrame:
@@ -322,12 +323,21 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 
 
 def deduplicate(docs: DataFrame) -> DataFrame:
-    """One row of each class, in all columns of ``docs``."""
+    """One row of each class, in all columns of ``docs``.
+
+    What is left out is found on ids and digests; rows that equal the one that stays in both are told apart last.
+    """
     rows = near_duplicates(docs)
-    chosen = rows.where(F.col("doc_id").eqNullSafe(F.col("class_id")) & (F.col("digest") == F.col("class_digest")))
-    keep = stored(chosen.groupBy("digest").agg(F.first("doc_id").alias("_id"), F.count(F.lit(1)).alias("_n")).withColumnRenamed("digest", "_digest"))
-    tagged = docs.withColumn("_digest", digest(F.col("text")))
-    held = tagged.join(keep, "_digest").where(F.col("doc_id").eqNullSafe(F.col("_id")))
+    stays = F.col("doc_id").eqNullSafe(F.col("class_id")) & (F.col("digest") == F.col("class_digest"))
+    judged = stored(rows.groupBy("doc_id", "digest").agg(F.max(stays).alias("stays"), F.count(F.lit(1)).alias("n")))
+    name = "_digest" + "_" * max(map(len, docs.columns))
+    tagged = docs.withColumn(name, digest(F.col("text")))
+    same = (F.col(name) == F.col("_d")) & F.col("doc_id").eqNullSafe(F.col("_i"))
+    short = [F.col("digest").alias("_d"), F.col("doc_id").alias("_i")]
+    kept = tagged.join(judged.where(~F.col("stays")).select(*short), same, "left_anti")
     columns = [F.col(f"`{c}`") for c in docs.columns]
-    again = held.where(F.col("_n") > 1).dropDuplicates(["_digest"]).select(*columns)
-    return held.where(F.col("_n") == 1).select(*columns).unionByName(again)
+    repeated = judged.where(F.col("stays") & (F.col("n") > 1)).select(*short)
+    if repeated.isEmpty():
+        return kept.select(*columns)
+    one = kept.join(repeated, same, "left_semi").dropDuplicates([name]).select(*columns)
+    return kept.join(repeated, same, "left_anti").select(*columns).unionByName(one)

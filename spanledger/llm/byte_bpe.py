@@ -25,6 +25,8 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 
+from spanledger.llm.batches import map_batches
+
 SLICE = 20_000
 
 
@@ -143,7 +145,7 @@ def encode(df: DataFrame, path: str, pattern: str, key: str = "doc_id", text: st
             lists = [pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(v, pa.int32())) for v in (ids, first, end)]
             yield pa.RecordBatch.from_arrays([batch.column(0), *lists], [key, "ids", "first", "end"])
 
-    return df.select(key, text).mapInArrow(batches, f"`{key}` {kind}, ids array<int>, first array<int>, end array<int>")
+    return map_batches(df.select(key, text), batches, f"`{key}` {kind}, ids array<int>, first array<int>, end array<int>")
 
 
 def decode(df: DataFrame, path: str, pattern: str, key: str = "doc_id", ids: str = "ids") -> DataFrame:
@@ -158,7 +160,7 @@ def decode(df: DataFrame, path: str, pattern: str, key: str = "doc_id", ids: str
             texts = [str(x, "utf-8", "replace") for x in decode_column(flat, bounds, path, pattern)]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(texts, pa.string())], [key, "text"])
 
-    return df.select(key, ids).mapInArrow(batches, f"`{key}` {kind}, text string")
+    return map_batches(df.select(key, ids), batches, f"`{key}` {kind}, text string")
 
 
 def digests(df: DataFrame, path: str, pattern: str, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -176,4 +178,4 @@ def digests(df: DataFrame, path: str, pattern: str, key: str = "doc_id", text: s
             yield pa.RecordBatch.from_arrays(columns, [key, "n_tokens", "ids_sha256", "decoded_sha256"])
 
     schema = f"`{key}` {kind}, n_tokens bigint, ids_sha256 string, decoded_sha256 string"
-    return df.select(key, text).mapInArrow(batches, schema)
+    return map_batches(df.select(key, text), batches, schema)

@@ -23,6 +23,8 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from spanledger.llm.batches import map_batches
+
 SAMPLE_ROWS, SAMPLE_CHARS = 48, 1_000
 STRETCH, SHARP = 512, 60.0
 SYMBOLS = 64
@@ -171,9 +173,9 @@ def _texts(column: pa.Array) -> Iterator[tuple[int, list[str]]]:
     yield begin, [x or "" for x in column[begin:].to_pylist()]
 
 
-def identify(df: DataFrame, samples: Samples, text: str = "text") -> DataFrame:
-    """All columns of ``df`` with ``lang_pred`` and ``lang_score``; columns of these names are replaced."""
-    kept = [c for c in df.columns if c not in ("lang_pred", "lang_score")]
+def identify(df: DataFrame, samples: Samples, text: str = "text", into: tuple[str, str] = ("lang_pred", "lang_score")) -> DataFrame:
+    """All columns of ``df`` with the language and its score in the columns ``into``, which replace others of these names."""
+    kept = [c for c in df.columns if c not in into]
     at = kept.index(text)
 
     def batches(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -184,7 +186,15 @@ def identify(df: DataFrame, samples: Samples, text: str = "text") -> DataFrame:
                 a, b = predict(texts, samples)
                 names, scores = names + a, scores + b
             columns = [*batch.columns, pa.array(names, pa.string()), pa.array(scores, pa.float64())]
-            yield pa.RecordBatch.from_arrays(columns, [*kept, "lang_pred", "lang_score"])
+            yield pa.RecordBatch.from_arrays(columns, [*kept, *into])
 
     fields = ", ".join(f"`{c}` {df.schema[c].dataType.simpleString()}" for c in kept)
-    return df.select(*kept).mapInArrow(batches, f"{fields}, lang_pred string, lang_score double")
+    return map_batches(df.select(*kept), batches, f"{fields}, `{into[0]}` string, `{into[1]}` double")
+
+
+def known_language(df: DataFrame, samples: Samples) -> DataFrame:
+    """The rows whose text is in a language at all (not ``und``), in their columns."""
+    into = ("_language", "_likelihood")
+    kept = [F.col(f"`{c}`") for c in df.columns]
+    free = tuple(n + "_" * max(1, *map(len, df.columns)) for n in into)
+    return identify(df, samples, into=free).where(F.col(free[0]) != "und").select(*kept)

@@ -22,6 +22,8 @@ from html import unescape
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from spanledger.llm.batches import map_batches
+
 SHORT, LONG, LINKS, STOPS_HIGH, STOPS_LOW = 70, 200, 0.33, 0.30, 0.15
 
 # Element names of the HTML standard, by their role.
@@ -223,4 +225,4 @@ def extract(pages: DataFrame, html: str = "html", keep: tuple[str, ...] = ("page
             columns += [pa.array(texts, pa.string()), pa.array(map(len, texts), pa.int64())]
             yield pa.RecordBatch.from_arrays(columns, [*keep, "text", "n_chars"])
 
-    return pages.select(*keep, html).mapInArrow(batches, f"{fields}, text string, n_chars bigint")
+    return map_batches(pages.select(*keep, html), batches, f"{fields}, text string, n_chars bigint")

@@ -28,6 +28,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from spanledger.llm.batches import map_batches
 from spanledger.session import stored
 
 DEGREE, MEMBERS, SENT = 24, 48, 4
@@ -59,7 +60,7 @@ def rounded(rows: DataFrame) -> DataFrame:
                 codes = np.rint(x / np.abs(x).max(1, keepdims=True) * 127).astype(np.int8)
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array([c.tobytes() for c in codes], pa.binary())], ["node", "code"])
 
-    return rows.mapInArrow(batches, "node bigint, code binary")
+    return map_batches(rows, batches, "node bigint, code binary")
 
 
 def _units(codes: pa.ChunkedArray | pa.Array) -> np.ndarray:
@@ -99,7 +100,7 @@ def leaves(nodes: DataFrame, count: int) -> DataFrame:
                         [pa.array(np.full(len(x), t), pa.int32()), pa.array(leaf, pa.int64()), part.column(0), part.column(1)], ["t", "leaf", "node", "code"]
                     )
 
-    return nodes.select("node", "code").mapInArrow(batches, "t int, leaf bigint, node bigint, code binary")
+    return map_batches(nodes.select("node", "code"), batches, "t int, leaf bigint, node bigint, code binary")
 
 
 def _first_edges(in_leaves: DataFrame) -> DataFrame:
@@ -255,7 +256,7 @@ def scored(pairs: DataFrame) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([*(part.column(c) for c in kept), pa.array(_cosine(x, y))], [*kept, "score"])
 
     fields = ", ".join(f"`{c}` {pairs.schema[c].dataType.simpleString()}" for c in kept)
-    return pairs.mapInArrow(batches, f"{fields}, score double")
+    return map_batches(pairs, batches, f"{fields}, score double")
 
 
 def nearest(vectors: DataFrame, asked: Column, k: int = 5) -> DataFrame:

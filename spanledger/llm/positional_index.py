@@ -28,6 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from spanledger.llm import words
+from spanledger.llm.batches import map_batches
 from spanledger.session import stored
 
 WINDOW = 10
@@ -50,7 +51,7 @@ def build(docs: DataFrame, key: Column, terms: list[str] | None = None) -> DataF
                 yield from _block(block, batch.column(0)[a:b], batch.column(1)[a:b], wanted)
                 block += 1
 
-    index = docs.select(key.cast("string").alias("key"), "text").mapInArrow(batches, INDEX)
+    index = map_batches(docs.select(key.cast("string").alias("key"), "text"), batches, INDEX)
     return stored(index)
 
 
@@ -232,5 +233,6 @@ def clean(docs: DataFrame, items: DataFrame, size: int = WINDOW) -> DataFrame:
     """The rows whose text holds no window of the items, in all their columns. The text alone decides."""
     digest = F.md5(F.coalesce(F.col("text"), F.lit("")).cast("binary"))
     found = contaminated_documents(docs, items, digest, size).where("contaminated")
-    held = stored(found.select(F.col("key").alias("_digest")).distinct())
-    return docs.withColumn("_digest", digest).join(held, "_digest", "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
+    name = "_digest" + "_" * max(map(len, docs.columns))
+    held = stored(found.select(F.col("key").alias(name)).distinct())
+    return docs.withColumn(name, digest).join(held, name, "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])

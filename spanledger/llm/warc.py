@@ -24,6 +24,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from spanledger.llm.batches import map_batches
+
 DATE = "2024-01-01T00:00:00Z"
 SCHEMA = (
     "key bigint, url string, record_type string, record_id string, refers_to string, concurrent_to string, warc_date string, "
@@ -111,7 +113,7 @@ def derivatives(responses: DataFrame) -> DataFrame:
                 found = [r for row in zip(*(c.to_pylist() for c in part.columns), strict=True) for r in derive(*row)]
                 yield pa.RecordBatch.from_arrays([pa.array([r[n] for r in found], kinds.field(n).type) for n in names], schema=kinds)
 
-    return responses.select("key", "record_id", "url", "date", "http_headers", "payload").mapInArrow(batches, SCHEMA)
+    return map_batches(responses.select("key", "record_id", "url", "date", "http_headers", "payload"), batches, SCHEMA)
 
 
 def responses_of(pages: DataFrame) -> DataFrame:
