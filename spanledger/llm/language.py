@@ -93,11 +93,13 @@ def _automaton(codes: list[int]) -> np.ndarray:
 
 
 def _parser(codes: list[int]) -> np.ndarray:
-    """One table: the state after a symbol, doubled, plus 1 where a phrase ends before it."""
+    """One table: the state after a symbol, doubled, plus 1 where the symbol begins a phrase.
+
+    The last state is that before a text and after a symbol that does not occur.
+    """
     table = _automaton(codes)
-    start = table[0]
-    broken = np.where(start >= 0, start, 0) * 2 + 1
-    return np.where(table >= 0, table * 2, broken[None, :]).astype(np.int32).reshape(-1)
+    begun = np.where(table[0] >= 0, table[0], len(table)) * 2 + 1
+    return np.vstack([np.where(table >= 0, table * 2, begun[None, :]), begun]).astype(np.int32).reshape(-1)
 
 
 @cache
@@ -134,7 +136,7 @@ def phrases(texts: list[str], samples: Samples) -> tuple[np.ndarray, np.ndarray,
     begin, length, owner = begin[order], length[order], owner[order]
     active = np.searchsorted(-length, -np.arange(STRETCH), "left")  # stretches longer than each place
     need = np.zeros((len(owner), len(parsers)), np.int64)
-    state = [np.zeros(len(owner), np.int32) for _ in parsers]
+    state = [np.full(len(owner), len(p) // SYMBOLS - 1, np.int32) for p in parsers]
     for place in range(STRETCH):
         n = int(active[place])
         if not n:
@@ -145,7 +147,7 @@ def phrases(texts: list[str], samples: Samples) -> tuple[np.ndarray, np.ndarray,
             need[:n, k] += moved & 1
             state[k][:n] = moved >> 1
     total = np.zeros((len(codes), len(parsers)), np.int64)
-    np.add.at(total, owner, need + 1)
+    np.add.at(total, owner, need)
     return total, sizes, lettered
 
 

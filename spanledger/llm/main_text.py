@@ -173,8 +173,11 @@ def _first_pass(b: Block, container: bool) -> bool | None:
     return None if len(b.text) >= LONG or stops >= STOPS_LOW else False
 
 
-def _second_pass(labels: list[bool | None], container: bool) -> list[bool]:
-    """Open blocks take the label of the nearest decided neighbour; at equal distance the article wins only in a container."""
+def _second_pass(labels: list[bool | None], heads: list[bool], container: bool) -> list[bool]:
+    """Open blocks take the label of the nearest decided neighbour, headings of the one they head.
+
+    At equal distance the article wins only in a container.
+    """
     n, out = len(labels), []
     before, after = [None] * n, [None] * n
     seen = None
@@ -190,6 +193,9 @@ def _second_pass(labels: list[bool | None], container: bool) -> list[bool]:
             out.append(x)
             continue
         a, b = before[i], after[i]
+        if heads[i] and b is not None:
+            out.append(bool(labels[b]))
+            continue
         near = [labels[a]] if a is not None else []
         near += [labels[b]] if b is not None else []
         if not near:
@@ -207,10 +213,8 @@ def main_text(html: str | None) -> str:
     container = any(b.content and not b.boiler for b in found)
     if container:
         # What lies outside is decided; inside, only decided neighbours inside count.
-        outside = [b for b in found if b.content and not b.boiler]
-        labels = _second_pass([_first_pass(b, True) for b in outside], True)
-        return "\n".join(b.text for b, keep in zip(outside, labels, strict=True) if keep)
-    labels = _second_pass([_first_pass(b, False) for b in found], False)
+        found = [b for b in found if b.content and not b.boiler]
+    labels = _second_pass([_first_pass(b, container) for b in found], [b.heading for b in found], container)
     return "\n".join(b.text for b, keep in zip(found, labels, strict=True) if keep)
 
 
