@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from spanledger.functions.times import epoch_to_timestamp
+
 SLOT = 64  # hex digits of one 32-byte slot
 SLOT_HEX = "^[0-9a-fA-F]{64}$"
 # At most 16 significant digits, with or without prefix.
@@ -31,8 +33,8 @@ def hex_to_address(col: Column) -> Column:
 
 
 def hex_to_timestamp(col: Column) -> Column:
-    """Hex epoch seconds to TIMESTAMP."""
-    return F.timestamp_seconds(hex_to_bigint(col))
+    """Hex epoch seconds to TIMESTAMP; NULL beyond the years a timestamp can show."""
+    return epoch_to_timestamp(hex_to_bigint(col))
 
 
 def slot(data: Column, n: int, start: int = 0, count: int = SLOT) -> Column:

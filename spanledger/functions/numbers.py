@@ -8,15 +8,24 @@ from pyspark.sql import functions as F
 from spanledger.constants import DEFAULT_DECIMALS, ZERO_ADDRESS
 
 
+# Decimal places kept of a value's 15 digits; 14 are left before the point.
+DIGITS_SCALE = 24
+
+
 def round_half_up(x: Column, places: int) -> Column:
-    """Decimal rounding of a DOUBLE, back to DOUBLE.
+    """Decimal rounding of a DOUBLE, back to DOUBLE, half away from zero.
 
-    The value first becomes a decimal with six extra places, which drops the
-    binary noise that would push an exact tie (1237.155) the wrong way. A value
-    too large for that decimal has no fraction left and passes unchanged.
+    A value counts as its 15 significant digits, which drops the binary noise
+    that would push an exact tie (1237.155) the wrong way but keeps 0.0049999999
+    below one. Only values near a tie are written out in digits, as that is
+    slow. A value too large for the decimal has no such fraction left.
     """
-    exact = x.cast("double").try_cast(f"decimal(38,{places + 6})")
-    return F.coalesce(F.round(exact, places).cast("double"), x.cast("double"))
+    value = x.cast("double")
+    scaled = F.abs(value) * F.lit(10.0**places)
+    near_tie = (scaled < 1e15) & (F.abs(scaled - F.floor(scaled) - 0.5) < 1e-3)
+    digits = F.format_string("%.14e", value).try_cast(f"decimal(38,{DIGITS_SCALE})")
+    exact = F.coalesce(F.round(digits, places).cast("double"), value)
+    return F.when(near_tie, exact).otherwise(F.round(value, places))
 
 
 def exact_sum(x: Column, places: int = 2) -> Column:

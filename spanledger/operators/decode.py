@@ -22,6 +22,7 @@ from spanledger.functions.hexcodec import (
 from spanledger.schemas import DECODED
 
 ADDRESS_PADDING = "0" * 24
+TOPIC_HEX = "^0x[0-9a-fA-F]{64}$"
 
 
 @dataclass(frozen=True)
@@ -182,6 +183,12 @@ def refund_columns() -> dict[str, Column]:
     }
 
 
+def prepared_logs(logs: DataFrame, sig: EventSignatures) -> DataFrame:
+    """Logs with their topics, slots and refund arrays cut out."""
+    prepared = with_numbers(split_topics(logs), sig)
+    return with_refund_check(with_refund_arrays(prepared, F.col("topic_0") == sig.executed_refund))
+
+
 def decode_logs(logs: DataFrame, sig: EventSignatures = EventSignatures()) -> DataFrame:
     """The 31 decoded columns, plus any lineage columns the input carries."""
     event = F.col("topic_0")
@@ -197,25 +204,41 @@ def decode_logs(logs: DataFrame, sig: EventSignatures = EventSignatures()) -> Da
         **refund_columns(),
     }
     kept = [c for c in logs.columns if c in ("blockchain", "source_file") or c.startswith("api_extracted")]
-    prepared = with_numbers(split_topics(logs), sig)
-    prepared = with_refund_check(with_refund_arrays(prepared, event == sig.executed_refund))
-    return prepared.select(*[columns[n].alias(n) for n in DECODED], *kept)
+    return prepared_logs(logs, sig).select(*[columns[n].alias(n) for n in DECODED], *kept)
 
 
-def undecodable_logs(logs: DataFrame, known_chains: DataFrame) -> DataFrame:
-    """Logs decoding would lose without an error, counted by chain and reason."""
-    named = split_topics(logs).join(
-        known_chains.select("blockchain", F.lit(True).alias("known")), "blockchain", "left"
-    )
-    event = F.col("topic_0")
-    has_deposit_id = event.isin(C.FILLED_RELAY, C.FUNDS_DEPOSITED)
-    reason = (
+def reject_reason(sig: EventSignatures = EventSignatures()) -> Column:
+    """Why decoding or staging would lose a log that is prepared by ``prepared_logs``; NULL if it would not.
+
+    The first reason that holds counts; ``known`` says whether the chain is. The
+    last three spoil a value but leave the log in staging.
+    """
+    event = F.coalesce("topic_0", F.lit(""))
+    refunded, deposited = event == sig.executed_refund, event == sig.funds_deposited
+    with_deposit = (event == sig.filled_relay) | deposited
+    chain = hex_to_bigint(F.col("topic_1"))
+    tokens = F.col("_s2").isNotNull() & F.col("_s3").isNotNull()
+    return (
         F.when(F.col("known").isNull(), "unknown chain")
-        .when(~F.coalesce(event, F.lit("")).isin(C.FILLED_RELAY, C.EXECUTED_REFUND, C.FUNDS_DEPOSITED), "unknown event")
-        .when(has_deposit_id & hex_to_bigint(F.col("topic_2")).isNull(), "deposit id out of range")
+        .when(~(with_deposit | refunded), "unknown event")
+        .when(with_deposit & hex_to_bigint(F.col("topic_2")).isNull(), "deposit id out of range")
+        .when(with_deposit & F.col("topic_3").isNull(), "missing party")
+        .when(with_deposit & ~tokens, "data cut short")
+        .when(with_deposit & (F.col("_n2").isNull() | F.col("_n3").isNull()), "malformed data")
+        .when(refunded & ~F.coalesce("_well_formed", F.lit(False)), "malformed refund")
+        .when(chain.isNull(), "bad chain id")
+        .when(hex_to_timestamp(F.col("timeStamp")).isNull(), "bad time")
+        .when(with_deposit & ~F.col("topic_3").rlike(TOPIC_HEX), "bad party")
     )
+
+
+def undecodable_logs(logs: DataFrame, known_chains: DataFrame) -> DataFrame:
+    """Logs that decoding or staging would lose without an error, counted by chain and reason."""
+    chains = known_chains.select(F.lower("blockchain").alias("_chain"), F.lit(True).alias("known"))
+    sig = EventSignatures()
+    named = prepared_logs(logs, sig).withColumn("_chain", F.lower("blockchain")).join(chains, "_chain", "left")
     return (
-        named.select("blockchain", reason.alias("reason"))
+        named.select("blockchain", reject_reason(sig).alias("reason"))
         .filter(F.col("reason").isNotNull())
         .groupBy("blockchain", "reason")
         .agg(F.count("*").alias("rejected_logs"))

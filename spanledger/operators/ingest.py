@@ -7,6 +7,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from spanledger.functions.hexcodec import hex_to_bigint
+from spanledger.session import stored
 
 LOG_KEY = ("transactionHash", "logIndex")
 
@@ -33,46 +34,62 @@ def pending_receipts(logs: DataFrame, receipts: DataFrame | None = None) -> Data
 
 
 def receipt_gas(receipts: DataFrame) -> DataFrame:
-    """One row of gas data per transaction: the effective price, else the plain one."""
+    """One row of gas data per transaction: the effective price, else the plain one.
+
+    Of several receipts of a transaction the one with a price and the most gas
+    used stays. The rank limit works before the shuffle too.
+    """
     price = F.coalesce(_filled("effectiveGasPrice"), _filled("gasPrice"))
-    gas = F.struct(F.col("gasUsed").alias("gasUsed"), price.alias("gasPrice"))
-    return receipts.groupBy("transactionHash").agg(F.max(gas).alias("receipt"))
+    gas = receipts.select("transactionHash", F.col("gasUsed").alias("receipt_used"), price.alias("receipt_price"))
+    order = [F.col("receipt_price").isNull(), F.desc_nulls_last(hex_to_bigint(F.col("receipt_used"))), "receipt_price", "receipt_used"]
+    best = F.row_number().over(W.partitionBy("transactionHash").orderBy(*order))
+    return gas.filter(F.col("transactionHash").isNotNull()).withColumn("n", best).filter(F.col("n") == 1).drop("n")
 
 
 def enrich_with_gas(logs: DataFrame, receipts: DataFrame) -> DataFrame:
     """Gas fields from the receipt where there is one; other logs stay as they are.
 
-    Receipts are reduced per transaction first, so a log never multiplies and
-    the join reuses that shuffle; a transaction with very many logs is split
-    by the adaptive skew join.
+    Receipts are reduced per transaction and stored, so a log never multiplies
+    and the join has a plain input on both sides: the adaptive planner splits
+    a transaction with very many logs, which it does not where an aggregate
+    lies between the shuffle and the join.
     """
     others = [c for c in logs.columns if c not in ("transactionHash", "gasUsed", "gasPrice")]
-    found = F.col("receipt").isNotNull()
-    joined = logs.join(receipt_gas(receipts), "transactionHash", "left")
+    found = F.col("has_receipt").isNotNull()
+    joined = logs.join(stored(receipt_gas(receipts)).withColumn("has_receipt", F.lit(True)), "transactionHash", "left")
     return joined.select(
         "transactionHash",
         *others,
-        F.when(found, F.col("receipt.gasUsed")).otherwise(F.col("gasUsed")).alias("gasUsed"),
-        F.when(found, F.col("receipt.gasPrice")).otherwise(F.col("gasPrice")).alias("gasPrice"),
+        F.when(found, F.col("receipt_used")).otherwise(F.col("gasUsed")).alias("gasUsed"),
+        F.when(found, F.col("receipt_price")).otherwise(F.col("gasPrice")).alias("gasPrice"),
     )
 
 
-def append_new_logs(existing: DataFrame, incoming: DataFrame, order_by: str = "blockNumber") -> DataFrame:
-    """Incoming logs whose (transaction, index) is not stored, once each.
+def _log_key() -> Column:
+    return F.struct(*[F.coalesce(n, F.lit("")).alias(n) for n in LOG_KEY])
 
-    Of several copies in the batch the first by ``order_by`` stays. The rank
-    limit is applied before the shuffle too, so many copies of one log do not
-    meet in one task.
+
+def unique_logs(logs: DataFrame, order_by: str = "blockNumber") -> DataFrame:
+    """Each (transaction, index) once: the copy with the least number in ``order_by``, then the least of all other columns.
+
+    The rank limit is applied before the shuffle too, so many copies of one
+    log do not meet in one task.
     """
-    key = [F.coalesce(c, F.lit("")) for c in LOG_KEY]
-    ranked = (
-        incoming.withColumn("k", F.struct(*[c.alias(n) for c, n in zip(key, LOG_KEY)]))
-        .withColumn("copy", F.row_number().over(W.partitionBy("k").orderBy(order_by)))
-        .filter(F.col("copy") == 1)
-        .drop("copy")
-    )
-    stored = existing.select(F.struct(*[c.alias(n) for c, n in zip(key, LOG_KEY)]).alias("k"))
-    return ranked.join(stored, "k", "left_anti").drop("k")
+    order = [F.asc_nulls_last(hex_to_bigint(F.col(order_by))), *[F.col(c) for c in sorted(logs.columns)]]
+    ranked = logs.withColumn("copy", F.row_number().over(W.partitionBy(_log_key()).orderBy(*order)))
+    return ranked.filter(F.col("copy") == 1).drop("copy")
+
+
+def append_new_logs(existing: DataFrame, incoming: DataFrame, order_by: str = "blockNumber") -> DataFrame:
+    """Incoming logs whose (transaction, index) is not stored, once each."""
+    known = existing.select(_log_key().alias("k"))
+    return unique_logs(incoming, order_by).withColumn("k", _log_key()).join(known, "k", "left_anti").drop("k")
+
+
+def prepare_logs(logs: DataFrame, receipts: DataFrame | None = None) -> DataFrame:
+    """Raw logs of all providers as decoding expects them: one shape, gas from the receipts, each log once."""
+    one_shape = harmonise_sources(logs)
+    return unique_logs(one_shape if receipts is None else enrich_with_gas(one_shape, receipts))
 
 
 def run_summary(logs: DataFrame) -> DataFrame:

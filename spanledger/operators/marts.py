@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from spanledger import constants as C
 from spanledger.functions.numbers import exact_sum, percent_of, round_half_up, tier
-from spanledger.operators.percentiles import grouped_median
+from spanledger.operators.percentiles import grouped_percentiles
 
 GRAIN = ["deposit_minute", "origin_chain_id", "destination_chain_id", "route_id", "deposit_token"]
 LABELS = ["origin_chain_name", "destination_chain_name", "route_name", "token_symbol", "base_token_symbol"]
@@ -75,11 +75,10 @@ def _fill_rate() -> Column:
     return percent_of(_fills(), F.count("*"), 2)
 
 
-# Latencies are whole seconds and percentages carry two decimals, so the exact
-# percentile below holds a small map of values per group however many rows
-# there are; it is merged on the map side.
-def _percentile(col: Column, p: float, places: int) -> Column:
-    return round_half_up(F.percentile(col, F.lit(p)), places)
+def with_percentiles(metrics: DataFrame, rows: DataFrame, values: dict[str, Column], wanted: dict[str, tuple[str, float]], places: int) -> DataFrame:
+    """Joins exact percentiles per grain to the other metrics, which so stay a plain hash aggregate."""
+    found = grouped_percentiles(rows, GRAIN, values, wanted)
+    return metrics.join(found, GRAIN, "left").withColumns({n: round_half_up(F.col(n), places) for n in wanted})
 
 
 def general_overview(match: DataFrame, chain_metadata: DataFrame, token_metadata: DataFrame) -> DataFrame:
@@ -96,7 +95,6 @@ def general_overview(match: DataFrame, chain_metadata: DataFrame, token_metadata
             exact_sum(F.coalesce(_when_filled("fill_amount_usd"), F.lit(0.0))).alias("total_filled_volume_usd"),
             _fill_rate().alias("fill_rate_pct"),
             round_half_up(F.avg(_when_filled("fill_latency_seconds")), 2).alias("avg_fill_latency_seconds"),
-            _percentile(_when_filled("fill_latency_seconds"), 0.5, 2).alias("median_fill_latency_seconds"),
             exact_sum(F.coalesce(_when_filled("bridge_fee_nominal"), F.lit(0.0))).alias("total_bridge_fees"),
             round_half_up(F.avg(_when_filled("bridge_fee_percent")), 4).alias("avg_bridge_fee_pct"),
             round_half_up(F.avg(_when_filled("slippage_percent")), 4).alias("avg_slippage_pct"),
@@ -107,6 +105,8 @@ def general_overview(match: DataFrame, chain_metadata: DataFrame, token_metadata
         rows,
         {"unique_depositors": F.col("depositor_address"), "unique_relayers": _when_filled("relayer_address")},
     )
+    seconds = {"seconds": _when_filled("fill_latency_seconds")}
+    metrics = with_percentiles(metrics, rows, seconds, {"median_fill_latency_seconds": ("seconds", 0.5)}, 2)
     return with_labels(metrics, chain_metadata, token_metadata).select(
         "deposit_minute",
         "origin_chain_id",
@@ -147,8 +147,6 @@ def fill_latency_analysis(match: DataFrame, chain_metadata: DataFrame, token_met
             F.count_if(~F.col("is_filled")).alias("unfilled_count"),
             _fill_rate().alias("fill_rate_pct"),
             round_half_up(F.avg(seconds), 2).alias("avg_ttf_seconds"),
-            _percentile(seconds, 0.5, 2).alias("median_ttf_seconds"),
-            _percentile(seconds, 0.95, 2).alias("p95_ttf_seconds"),
             F.min(seconds).alias("min_ttf_seconds"),
             F.max(seconds).alias("max_ttf_seconds"),
             F.count_if(seconds <= C.INSTANT_SECONDS).alias("instant_fill_count"),
@@ -160,6 +158,8 @@ def fill_latency_analysis(match: DataFrame, chain_metadata: DataFrame, token_met
         )
     )
     metrics = with_distinct_counts(metrics, rows, {"unique_relayers": _when_filled("relayer_address")})
+    wanted = {"median_ttf_seconds": ("seconds", 0.5), "p95_ttf_seconds": ("seconds", 0.95)}
+    metrics = with_percentiles(metrics, rows, {"seconds": seconds}, wanted, 2)
     buckets = ["instant", "fast", "slow", "very_slow"]
     insights = metrics.withColumns(
         {f"{b}_fill_pct": percent_of(F.col(f"{b}_fill_count"), F.col("total_fills"), 2) for b in buckets}
@@ -207,12 +207,10 @@ def bridge_fee_analysis(match: DataFrame, chain_metadata: DataFrame, token_metad
         F.sum(fee_usd).alias("total_fees_usd"),
         percent_of(F.sum(fee_usd), exact_sum(F.col("deposit_amount_usd")), 4).alias("effective_fee_pct"),
         round_half_up(F.avg(fee_pct), 4).alias("avg_fee_pct"),
-        _percentile(fee_pct, 0.5, 4).alias("median_fee_pct"),
         round_half_up(F.stddev_samp(fee_pct), 4).alias("fee_std_dev"),
         round_half_up(F.min(fee_pct), 4).alias("min_fee_pct"),
         round_half_up(F.max(fee_pct), 4).alias("max_fee_pct"),
         round_half_up(F.avg(slippage), 4).alias("avg_slippage_pct"),
-        _percentile(slippage, 0.5, 4).alias("median_slippage_pct"),
         round_half_up(F.avg(F.col("gas_price_wei").cast("decimal(19,0)")).cast("double") / 1e9, 4).alias("avg_gas_price_gwei"),
         round_half_up(gas_total / 1e18, 8).alias("total_gas_cost_native"),
         round_half_up(gas_total / F.nullif(F.count("gas_cost_wei"), F.lit(0)) / 1e18, 8).alias("avg_gas_cost_native"),
@@ -224,10 +222,10 @@ def bridge_fee_analysis(match: DataFrame, chain_metadata: DataFrame, token_metad
         filled,
         {"unique_depositors": F.col("depositor_address"), "unique_relayers": F.col("relayer_address")},
     )
-    median_gas = grouped_median(filled, GRAIN, "gas_price_wei", "_median_gas_price")
-    insights = metrics.join(median_gas, GRAIN, "left").withColumns(
+    values = {"fee": fee_pct, "slippage": slippage, "gas": F.col("gas_price_wei").cast("double") / 1e9}
+    wanted = {"median_fee_pct": ("fee", 0.5), "median_slippage_pct": ("slippage", 0.5), "median_gas_price_gwei": ("gas", 0.5)}
+    insights = with_percentiles(metrics, filled, values, wanted, 4).withColumns(
         {
-            "median_gas_price_gwei": round_half_up(F.col("_median_gas_price") / 1e9, 4),
             "fee_spread_pct": round_half_up(F.col("max_fee_pct") - F.col("min_fee_pct"), 4),
             "pricing_tier": tier(F.col("effective_fee_pct"), C.PRICING_TIERS, C.PRICING_REST),
             "fee_volatility_tier": tier(F.col("fee_std_dev"), C.VOLATILITY_TIERS, C.VOLATILITY_REST),

@@ -1,33 +1,45 @@
-"""Exact medians of values that have no small domain."""
+"""Exact percentiles of values that have no small domain."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 
-def grouped_median(df: DataFrame, keys: list[str], value: str, name: str) -> DataFrame:
-    """Interpolated median per group, without a group's rows in one task's memory.
+def grouped_percentiles(df: DataFrame, keys: list[str], values: dict[str, Column], wanted: dict[str, tuple[str, float]]) -> DataFrame:
+    """Interpolated percentiles per group, without a group's rows in one task's memory.
 
-    Rows first become counts per (group, value), with the value in the shuffle
-    key, so a hot group is spread and combined before the ordered pass. That
-    pass is a running count over sorted rows, which spills.
+    ``values`` names the measured columns, ``wanted`` maps each result to a value
+    name and a share. Rows first become counts per (group, value name, value),
+    with the value in the shuffle key, so a hot group is spread and combined
+    before the ordered pass, which is a running count over sorted rows that
+    spills. All values go through one such pass.
     """
-    counts = df.filter(F.col(value).isNotNull()).groupBy(*keys, F.col(value).alias("v")).agg(F.count("*").alias("n"))
-    ordered = W.partitionBy(*keys).orderBy("v")
+    measured = F.array(*[F.struct(F.lit(n).alias("kind"), c.cast("double").alias("v")) for n, c in values.items()])
+    rows = df.select(*keys, F.inline(F.filter(measured, lambda x: x["v"].isNotNull())))
+    counts = rows.groupBy(*keys, "kind", "v").agg(F.count("*").alias("n"))
+    group = W.partitionBy(*keys, "kind")
     ranked = counts.withColumns(
         {
-            "upto": F.sum("n").over(ordered.rowsBetween(W.unboundedPreceding, 0)),
-            "total": F.sum("n").over(W.partitionBy(*keys)),
+            "upto": F.sum("n").over(group.orderBy("v").rowsBetween(W.unboundedPreceding, 0)),
+            "total": F.sum("n").over(group),
         }
     )
-    # The middle ranks (zero-based) are (total-1)/2 rounded down and up.
     first, last = F.col("upto") - F.col("n"), F.col("upto") - 1
-    low, high = F.floor((F.col("total") - 1) / 2), F.ceil((F.col("total") - 1) / 2)
-    v = F.col("v").cast("double")
-    return ranked.groupBy(*keys).agg(
-        (
-            (F.max(F.when((first <= low) & (low <= last), v)) + F.max(F.when((first <= high) & (high <= last), v))) / 2
-        ).alias(name)
-    )
+
+    def at(kind: str, rank: Column) -> Column:
+        return F.max(F.when((F.col("kind") == kind) & (first <= rank) & (rank <= last), F.col("v")))
+
+    results = []
+    for name, (kind, share) in wanted.items():
+        place = (F.col("total") - 1) * F.lit(share)
+        low, high = at(kind, F.floor(place)), at(kind, F.ceil(place))
+        part = F.max(F.when(F.col("kind") == kind, place - F.floor(place)))
+        results.append(((F.lit(1.0) - part) * low + part * high).alias(name))
+    return ranked.groupBy(*keys).agg(*results)
+
+
+def grouped_median(df: DataFrame, keys: list[str], value: str, name: str) -> DataFrame:
+    """Interpolated median per group."""
+    return grouped_percentiles(df, keys, {value: F.col(value)}, {name: (value, 0.5)})

@@ -18,12 +18,22 @@ from spanledger.schemas import ADDRESS_COLUMNS, AMOUNT_COLUMNS, DECODED
 Rules = dict[str, Column]
 
 
-def rule_report(df: DataFrame, rules: Rules) -> DataFrame:
-    """One row per rule: violating rows and rows checked. An unknown is no violation."""
-    counts = df.agg(F.count("*").alias("checked"), *[F.count_if(cond).alias(f"r{i}") for i, cond in enumerate(rules.values())])
-    rows = [F.struct(F.lit(name).alias("rule"), F.col(f"r{i}").alias("failures")) for i, name in enumerate(rules)]
-    return counts.select(F.inline(F.array(*rows)), F.col("checked")).select(
-        "rule", "failures", "checked", (F.col("failures") == 0).alias("passed")
+def rule_report(df: DataFrame, rules: Rules, by: str | None = None, expected: DataFrame | None = None) -> DataFrame:
+    """One row per rule: violating rows and rows checked. An unknown is no violation.
+
+    With ``by``, one row per rule and value of that column, also for the values
+    of ``expected`` that have no row. Nothing checked is not passed.
+    """
+    counts = df.groupBy(*([by] if by else [])).agg(
+        F.count("*").alias("checked"), *[F.count_if(cond).alias(f"r{i}") for i, cond in enumerate(rules.values())]
+    )
+    if expected is not None:
+        counts = expected.select(by).distinct().join(counts, by, "full")
+    none = F.lit(0).cast("bigint")
+    rows = [F.struct(F.lit(name).alias("rule"), F.coalesce(f"r{i}", none).alias("failures")) for i, name in enumerate(rules)]
+    checked = F.coalesce("checked", none)
+    return counts.select(*([by] if by else []), F.inline(F.array(*rows)), checked.alias("checked")).select(
+        *([by] if by else []), "rule", "failures", "checked", ((F.col("failures") == 0) & (F.col("checked") > 0)).alias("passed")
     )
 
 
@@ -95,6 +105,17 @@ def check_file(df: DataFrame, kind: str) -> DataFrame:
     return rule_report(df, FILE_RULES[kind]())
 
 
+def check_files(df: DataFrame, kind: str, files: DataFrame | None = None) -> DataFrame:
+    """A verdict for every rule and ``source_file``; a file of ``files`` without a row fails.
+
+    Lines that are no JSON count under a rule of their own where the reader kept them in ``_corrupt_record``.
+    """
+    rules = FILE_RULES[kind]()
+    if "_corrupt_record" in df.columns:
+        rules["invalid line"] = F.col("_corrupt_record").isNotNull()
+    return rule_report(df, rules, "source_file", files)
+
+
 def duplicate_keys(df: DataFrame, keys: list[str], where: Column | None = None) -> DataFrame:
     """Key values that occur more than once. NULL keys are not compared."""
     kept = df.dropna(subset=keys) if where is None else df.filter(where).dropna(subset=keys)
@@ -196,19 +217,10 @@ def completeness_rules(now: datetime) -> Rules:
 def duplicate_rows(df: DataFrame) -> DataFrame:
     """Rows that occur more than once in every column, with their copies.
 
-    Rows are grouped by a hash of the whole row first and compared in full
-    only where the hash repeats, so the wide columns of unique rows stay out
-    of the grouping.
+    Copies are counted within each task first, so many copies of one row do
+    not meet in one task.
     """
-    columns = df.columns
-    hashed = df.withColumn("_h", F.xxhash64(*columns))
-    repeated = hashed.groupBy("_h").agg(F.count("*").alias("_n")).filter("_n > 1").select("_h")
-    return (
-        hashed.join(repeated, "_h", "left_semi")
-        .groupBy(*columns)
-        .agg(F.count("*").alias("copies"))
-        .filter(F.col("copies") > 1)
-    )
+    return df.groupBy(*df.columns).agg(F.count("*").alias("copies")).filter(F.col("copies") > 1)
 
 
 def file_profile(df: DataFrame) -> DataFrame:

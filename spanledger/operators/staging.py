@@ -1,8 +1,8 @@
 """Decoded logs to typed deposit, fill and refund facts, for all chains at once.
 
-Each operator is a filter on the landed table (event, required amounts), so
-the Parquet scan skips the other events' row groups and reads only the
-event's own columns.
+Each operator is a filter on the landed table (event, required amounts). The
+landed files are ordered by event, so the Parquet scan skips the row groups
+that hold other events only, and reads only the event's own columns.
 """
 
 from __future__ import annotations

@@ -20,7 +20,8 @@ LISTED = C.EXCLUDED_DEPOSIT_TOKENS[0]
 
 
 def rnd(x: str, n: int) -> str:
-    return f"CAST(round(CAST({x} AS DECIMAL(38,{n + 6})), {n}) AS DOUBLE)"
+    """Rounding of the 15 significant digits, half away from zero."""
+    return f"CAST(round(CAST(printf('%.14e', ({x})::DOUBLE) AS DECIMAL(38,20)), {n}) AS DOUBLE)"
 
 
 def money_sum(x: str) -> str:
@@ -265,10 +266,6 @@ def _model(name: str) -> str:
     return f"SELECT * FROM {name}"
 
 
-def _landed_counts(where: str = "TRUE") -> str:
-    return f"SELECT * FROM landed WHERE {where}"
-
-
 def _rules(pairs: dict[str, str], source: str) -> str:
     """A rule report: one row per rule with its violations."""
     return "\nUNION ALL ".join(

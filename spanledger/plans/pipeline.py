@@ -7,9 +7,11 @@ from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import DateType, StructField, StructType
 
 from spanledger.operators import marts, matching, staging, unify
 from spanledger.operators.decode import decode_logs
+from spanledger.operators.ingest import prepare_logs
 from spanledger.sources.landing import read_landing, refresh_landing
 
 # Layers kept as tables because several readers follow; the rest stay lazy.
@@ -31,16 +33,23 @@ class Bridge:
 
     @classmethod
     def from_raw(
-        cls, raw_logs: DataFrame, folder: str, chain_metadata: DataFrame, token_metadata: DataFrame, token_prices: DataFrame
+        cls,
+        raw_logs: DataFrame,
+        folder: str,
+        chain_metadata: DataFrame,
+        token_metadata: DataFrame,
+        token_prices: DataFrame,
+        receipts: DataFrame | None = None,
+        chains: list[str] | None = None,
     ) -> Bridge:
-        """Decode once into the landing table, then model from that.
+        """Bring raw logs to one shape, add gas, drop copies, decode once into the landing table, then model from that.
 
         Three models read the decoded logs with different filters; from Parquet
-        each reads only its own columns and row groups, while over raw logs
-        each would decode everything again.
+        each reads only its own columns and, as logs are ordered by event, the
+        row groups that hold its event. ``chains`` are refreshed even if empty.
         """
         path = f"{folder}/landed_logs"
-        refresh_landing(decode_logs(raw_logs), path)
+        refresh_landing(decode_logs(prepare_logs(raw_logs, receipts)), path, chains)
         landed = read_landing(raw_logs.sparkSession, path)
         return cls(landed, chain_metadata, token_metadata, token_prices)
 
@@ -98,24 +107,11 @@ class Bridge:
     def route_concentration_risk(self) -> DataFrame:
         return marts.route_concentration_risk(self.deposit_fill_matching)
 
-    def register_views(self) -> None:
-        """Staged and unified models as temporary views, for ad-hoc SQL."""
-        for name in (
-            "stage_deposits",
-            "stage_fills",
-            "stage_refunds",
-            "unified_deposits",
-            "unified_fills",
-            "unified_refunds",
-            "refunds_expanded",
-        ):
-            getattr(self, name).createOrReplaceTempView(name)
-
     def write_match(self, path: str) -> None:
         """The match as a table partitioned by deposit day.
 
         The rebalance gathers a day into few files and lets the adaptive
-        planner split a large day, so dashboards read only the days they show.
+        planner split a large day; ``over_match`` reads only the days asked for.
         """
         (
             self.deposit_fill_matching.withColumn("deposit_date", F.to_date("deposit_timestamp"))
@@ -126,14 +122,16 @@ class Bridge:
             .parquet(path)
         )
 
-    def over_match(self, spark: SparkSession, path: str) -> Bridge:
-        """The same models with the marts reading a stored match.
+    def over_match(self, spark: SparkSession, path: str, days: tuple[str, str] | None = None) -> Bridge:
+        """The same models with the marts reading a stored match, of all days or from a first to a last one.
 
         A mart aggregates the match in several narrow passes; each is a scan of
         its own columns there, instead of the whole match computed again.
         """
-        match = spark.read.parquet(path).drop("deposit_date")
-        return Bridge(self.landed, self.chain_metadata, self.token_metadata, self.token_prices, match)
+        match = spark.read.schema(StructType([*self.deposit_fill_matching.schema, StructField("deposit_date", DateType())])).parquet(path)
+        if days is not None:
+            match = match.filter(F.col("deposit_date").between(*[F.lit(d).cast("date") for d in days]))
+        return Bridge(self.landed, self.chain_metadata, self.token_metadata, self.token_prices, match.drop("deposit_date"))
 
     def store(self, spark: SparkSession, folder: str) -> Bridge:
         """Write the match once, then the marts from it."""

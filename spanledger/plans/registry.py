@@ -19,6 +19,7 @@ from spanledger.functions.numbers import percent_of, round_half_up
 from spanledger.functions.times import text_to_timestamp
 from spanledger.operators import ingest, marts, quality
 from spanledger.operators import decode as D
+from spanledger.operators.percentiles import grouped_median
 from spanledger.plans import oracles as O
 from spanledger.plans import star_input as S
 from spanledger.plans import stored
@@ -59,14 +60,12 @@ bridge = stored.bridge
 bridge_over_match = stored.bridge_over_match
 
 
+def raw_dimensions(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    return S.chain_metadata(spark, sf_dir), S.token_metadata(spark, sf_dir), S.token_prices(spark, sf_dir)
+
+
 def raw_bridge(spark: SparkSession, sf_dir: str) -> Bridge:
-    return Bridge.from_raw(
-        stored.raw_logs(spark, sf_dir),
-        shared_folder(spark),
-        S.chain_metadata(spark, sf_dir),
-        S.token_metadata(spark, sf_dir),
-        S.token_prices(spark, sf_dir),
-    )
+    return Bridge.from_raw(stored.raw_logs(spark, sf_dir), shared_folder(spark), *raw_dimensions(spark, sf_dir))
 
 
 def _rounded(df: DataFrame, columns: list[str], places: int) -> DataFrame:
@@ -84,12 +83,11 @@ def _rounded(df: DataFrame, columns: list[str], places: int) -> DataFrame:
 def fill_rate_by_route(spark, sf_dir):
     """Deposits, fills, fill rate and median latency of each route."""
     fills = F.count_if("is_filled")
-    return bridge(spark, sf_dir).deposit_fill_matching.groupBy("route_name").agg(
-        F.count("*").alias("deposits"),
-        fills.alias("fills"),
-        percent_of(fills, F.count("*"), 2).alias("fill_rate_pct"),
-        F.percentile("fill_latency_seconds", F.lit(0.5)).alias("median_latency_seconds"),
+    match = bridge_over_match(spark, sf_dir).deposit_fill_matching
+    rates = match.groupBy("route_name").agg(
+        F.count("*").alias("deposits"), fills.alias("fills"), percent_of(fills, F.count("*"), 2).alias("fill_rate_pct")
     )
+    return rates.join(grouped_median(match, ["route_name"], "fill_latency_seconds", "median_latency_seconds"), "route_name", "left")
 
 
 # ---- models over landed logs ---------------------------------------------
@@ -135,6 +133,37 @@ _CONCENTRATION = f"""SELECT origin_chain_name, destination_chain_name, route_nam
 _register_mart("mart_route_concentration", "route_concentration_risk", _CONCENTRATION, [])
 
 
+@query(
+    """SELECT CASE ev WHEN 'd' THEN 'deposit' WHEN 'f' THEN 'fill' ELSE 'refund' END AS event, chain AS blockchain, count(*)::BIGINT AS logs,
+      count(gp)::BIGINT AS with_gas, count(DISTINCT tx)::BIGINT AS transactions, min(t) AS first_time, max(t) AS last_time,
+      CAST(sum(coalesce(gp % 1000007, 0)) AS BIGINT) AS gas_check FROM landed GROUP BY ev, chain"""
+)
+def ingest_twice_to_landed(spark, sf_dir):
+    """Every log from two providers, one naming the time blockTimestamp, in named files; gas of fills from receipts alone."""
+    folder = shared_folder(spark)
+    raw = stored.raw_logs(spark, sf_dir)
+    is_fill = F.get("topics", F.lit(0)) == C.FILLED_RELAY
+    bare = raw.withColumns({c: F.when(~is_fill, F.col(c)) for c in ("gasPrice", "gasUsed")})
+    second = bare.withColumn("blockTimestamp", F.col("timeStamp")).withColumns({"timeStamp": F.lit(None).cast("string"), "removed": F.lit(False)})
+    logs.write_log_files(bare, f"{folder}/first", *S.WINDOW)
+    logs.write_log_files(second, f"{folder}/second", *S.WINDOW)
+    scanned = logs.scan_logs(spark, [f"{folder}/first", f"{folder}/second"])
+    gas = receipts(spark, sf_dir)
+    again = gas.withColumn("effectiveGasPrice", F.lit("")).withColumn("gasPrice", F.lit(""))
+    gas.unionByName(again).write.json(f"{folder}/receipts")
+    twice = logs.scan_receipts(spark, f"{folder}/receipts")
+    loaded = Bridge.from_raw(scanned, folder, *raw_dimensions(spark, sf_dir), receipts=twice).landed
+    event = F.when(F.col("topic_0") == C.FUNDS_DEPOSITED, "deposit").when(F.col("topic_0") == C.FILLED_RELAY, "fill").otherwise("refund")
+    return loaded.groupBy(event.alias("event"), "blockchain").agg(
+        F.count("*").alias("logs"),
+        F.count("gas_price_wei").alias("with_gas"),
+        F.count_distinct("transactionHash").alias("transactions"),
+        F.min("timestamp_datetime").alias("first_time"),
+        F.max("timestamp_datetime").alias("last_time"),
+        F.sum(F.coalesce(F.col("gas_price_wei") % 1000007, F.lit(0))).alias("gas_check"),
+    )
+
+
 @query(O._model("general_overview"))
 def raw_to_general_overview(spark, sf_dir):
     """The whole chain: raw hex logs, decoded and landed, staged, unified, matched and stored, aggregated."""
@@ -180,6 +209,20 @@ def gas_cost_by_native_token(spark, sf_dir):
 # ---- decoding --------------------------------------------------------------
 
 
+@query(
+    """SELECT fhash AS tx, printf('0x%064x', cust::BIGINT) AS depositor_slot, (fep // 12)::DOUBLE AS block_number, fep AS block_time FROM f"""
+)
+def slot_texts(spark, sf_dir):
+    """A slot of fill data as 32 bytes of text, and hex quantities as exact numbers."""
+    fills = stored.raw_logs(spark, sf_dir).filter(F.get("topics", F.lit(0)) == C.FILLED_RELAY)
+    return fills.select(
+        F.col("transactionHash").alias("tx"),
+        H.slot_to_bytes32(H.slot(F.col("data"), 8)).alias("depositor_slot"),
+        H.hex_to_decimal(F.col("blockNumber")).alias("block_number"),
+        H.hex_to_bigint(F.col("timeStamp")).alias("block_time"),
+    )
+
+
 @query(
     f"""SELECT dhash AS tx, '{C.FUNDS_DEPOSITED}' AS topic_0, NULL::BIGINT AS topic_origin_chain_id, k AS topic_deposit_id,
       NULL AS topic_relayer, did AS topic_destination_chain_id, {O.addr('cust')} AS topic_depositor, NULL::BIGINT AS topic_chain_id,
@@ -340,14 +383,15 @@ def raw_json_roundtrip(spark, sf_dir):
 
 @query(
     """SELECT chain AS blockchain, count(*)::BIGINT AS row_count, count(DISTINCT tx)::BIGINT AS transactions, min(t) AS min_time,
-      max(t) AS max_time FROM landed WHERE chain <> 'base' OR ev = 'd' GROUP BY chain"""
+      max(t) AS max_time FROM landed WHERE (chain <> 'base' OR ev = 'd') AND chain <> 'polygon' GROUP BY chain"""
 )
 def full_refresh_roundtrip(spark, sf_dir):
-    """Load all chains, then refresh one with fewer rows: only that chain changes."""
+    """Load all chains, then refresh one with fewer rows and one with none: only those change."""
     path = shared_folder(spark) + "/landing"
     landed = S.landed_logs(spark, sf_dir)
     landing.refresh_landing(landed, path)
     landing.refresh_landing(landed.filter((F.col("blockchain") == "base") & (F.col("topic_0") == C.FUNDS_DEPOSITED)), path)
+    landing.refresh_landing(landed.filter("blockchain = 'polygon'").limit(0), path, ["polygon"])
     return landing.read_landing(spark, path).groupBy("blockchain").agg(
         F.count("*").alias("row_count"),
         F.count_distinct("transactionHash").alias("transactions"),
@@ -535,6 +579,31 @@ def dq_raw_logs(spark, sf_dir):
     return quality.check_file(damaged_raw(spark, sf_dir), "logs")
 
 
+_RAW_RULES = ", ".join(
+    f"('{r}')"
+    for r in [*(f"missing {c}" for c in quality.RAW_REQUIRED), "bad transactionHash", "bad address", "empty topics", "bad topic0", "invalid line"]
+)
+
+
+@query(
+    f"""SELECT concat('logs_', chain, '_{S.WINDOW[0]}_to_{S.WINDOW[1]}.jsonl') AS source_file, rule,
+      (CASE WHEN rule = 'missing data' THEN refunds ELSE 0 END)::BIGINT AS failures, checked,
+      NOT (rule = 'missing data' AND refunds > 0) AS passed
+    FROM (SELECT chain, count(*)::BIGINT AS checked, count(*) FILTER (WHERE ev = 'r') AS refunds FROM landed GROUP BY chain),
+      (VALUES {_RAW_RULES}) AS rules(rule)
+    UNION ALL SELECT 'logs_none_{S.WINDOW[0]}_to_{S.WINDOW[1]}.jsonl', rule, 0::BIGINT, 0::BIGINT, FALSE FROM (VALUES {_RAW_RULES}) AS rules(rule)"""
+)
+def dq_raw_files(spark, sf_dir):
+    """A verdict for every raw log file and rule; refunds have lost their data, and one expected file is empty."""
+    folder = shared_folder(spark)
+    damaged = stored.raw_logs(spark, sf_dir).withColumn("data", F.when(F.get("topics", F.lit(0)) != C.EXECUTED_REFUND, F.col("data")))
+    logs.write_log_files(damaged, f"{folder}/raw", *S.WINDOW)
+    # A large chain has several numbered files; they count as one here.
+    scanned = logs.scan_logs(spark, f"{folder}/raw").withColumn("source_file", F.regexp_replace("source_file", r"\.\d+\.jsonl$", ".jsonl"))
+    none = f"logs_none_{S.WINDOW[0]}_to_{S.WINDOW[1]}.jsonl"
+    return quality.check_files(scanned, quality.file_kind(none), spark.createDataFrame([(none,)], "source_file string"))
+
+
 @query("""SELECT fhash AS "transactionHash", printf('0x%x', ln::BIGINT) AS "logIndex", sum(CASE WHEN rf = 'N' THEN 2 ELSE 1 END)::BIGINT AS copies
        FROM f GROUP BY ALL HAVING sum(CASE WHEN rf = 'N' THEN 2 ELSE 1 END) > 1""")
 def dq_duplicates(spark, sf_dir):
@@ -580,6 +649,12 @@ def dq_prices(spark, sf_dir):
     return quality.check_file(text, "prices")
 
 
+@query("SELECT count(*)::BIGINT AS records, count(DISTINCT sym)::BIGINT AS token_count FROM pr")
+def dq_price_tokens(spark, sf_dir):
+    """Price records and how many tokens they name."""
+    return quality.price_tokens(S.token_prices(spark, sf_dir))
+
+
 @query(
     "SELECT * FROM ("
     + O._rules(
@@ -602,10 +677,10 @@ def dq_receipts(spark, sf_dir):
         "gasPrice", F.when(F.col("effectiveGasPrice") == "", F.substring("gasPrice", 3, 20)).otherwise(F.col("gasPrice"))
     )
     report = quality.check_file(damaged, "receipts")
-    copies = quality.duplicate_keys(found, ["transactionHash"]).agg(F.count("*").alias("failures"))
-    totals = found.agg(F.count("*").alias("checked"))
-    duplicates = copies.join(totals, F.lit(True)).select(
-        F.lit("duplicate transactionHash").alias("rule"), "failures", "checked", (F.col("failures") == 0).alias("passed")
+    copies = found.groupBy("transactionHash").agg(F.count("*").alias("n"))
+    counted = copies.agg(F.count_if(F.col("n") > 1).alias("failures"), F.coalesce(F.sum("n"), F.lit(0)).alias("checked"))
+    duplicates = counted.select(
+        F.lit("duplicate transactionHash").alias("rule"), "failures", "checked", ((F.col("failures") == 0) & (F.col("checked") > 0)).alias("passed")
     )
     return report.unionByName(duplicates)
 

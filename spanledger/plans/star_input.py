@@ -51,16 +51,8 @@ WINDOW = ("2024-01-01", "2024-02-01")
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A source table; one that the scan cannot split is spread over the cores.
-
-    A single small row group is one task otherwise. A table of many splits is
-    read as it is.
-    """
-    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
-    cores = spark.sparkContext.defaultParallelism
-    if name in ("orders", "lineitem") and df.rdd.getNumPartitions() < cores:
-        return df.repartition(cores)
-    return df
+    """A source table, read as it is."""
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def _pick(values: list, index: Column) -> Column:

@@ -1,4 +1,7 @@
-"""Fixed schemas; nothing is inferred from files."""
+"""Fixed schemas; nothing is inferred from files.
+
+Fixed values: names and types are the data contract of the decoded logs.
+"""
 
 from __future__ import annotations
 
@@ -7,10 +10,6 @@ RAW_LOG = (
     "timeStamp STRING, blockTimestamp STRING, gasPrice STRING, gasUsed STRING, logIndex STRING, "
     "transactionHash STRING, transactionIndex STRING, removed BOOLEAN"
 )
-RAW_LOG_COLUMNS = [
-    "address", "topics", "data", "blockNumber", "timeStamp", "gasPrice", "gasUsed", "logIndex", "transactionHash",
-]
-
 RECEIPT = "transactionHash STRING, gasUsed STRING, effectiveGasPrice STRING, gasPrice STRING, status STRING"
 
 PRICE = "token_symbol STRING, timestamp TIMESTAMP, price_usd DOUBLE"

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from spanledger.functions.numbers import text_to_bigint
 from spanledger.functions.times import text_to_timestamp
 from spanledger.schemas import LANDED
-from spanledger.sources.logs import with_lineage
+from spanledger.session import discard
 
 
 def fit_columns(df: DataFrame, columns: dict[str, str] = LANDED) -> DataFrame:
@@ -22,23 +22,24 @@ def fit_columns(df: DataFrame, columns: dict[str, str] = LANDED) -> DataFrame:
     )
 
 
-def read_decoded(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """Decoded Parquet files, with lineage taken from the file names."""
-    df = spark.read.parquet(*([path] if isinstance(path, str) else path))
-    return fit_columns(with_lineage(df, F.col("_metadata.file_name")))
-
-
-def refresh_landing(decoded: DataFrame, path: str) -> None:
-    """Full refresh: each chain in the input replaces that chain's rows.
+def refresh_landing(decoded: DataFrame, path: str, chains: list[str] | None = None) -> None:
+    """Full refresh: each chain in the input, and each of ``chains`` also if it has no row, replaces that chain's rows.
 
     Dynamic partition overwrite leaves the other chains untouched. The
     rebalance gathers each chain into few files, yet lets the adaptive planner
-    split a chain that holds much of the data over many tasks.
+    split a chain that holds much of the data over many tasks. Within a file
+    logs are ordered by event and time, so that a reader of one event skips
+    the row groups of the others.
     """
+    if chains:
+        loaded = {r["blockchain"] for r in decoded.select("blockchain").distinct().collect()}
+        for chain in set(chains) - loaded:
+            discard(decoded.sparkSession, f"{path}/blockchain={chain}")
     (
         fit_columns(decoded)
         .withColumn("loaded_at", F.current_timestamp())
         .hint("rebalance", "blockchain")
+        .sortWithinPartitions("blockchain", "topic_0", "timestamp_datetime")
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy("blockchain")
@@ -47,7 +48,9 @@ def refresh_landing(decoded: DataFrame, path: str) -> None:
 
 
 def read_landing(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path).select(*LANDED, "loaded_at")
+    """The landed table, also where no load has left a row."""
+    fields = ", ".join(f"{n} {t}" for n, t in LANDED.items())
+    return spark.read.schema(f"{fields}, loaded_at timestamp").parquet(path).select(*LANDED, "loaded_at")
 
 
 def load_status(landing: DataFrame) -> DataFrame:

@@ -110,4 +110,6 @@ def test_lost_logs_are_counted(spark):
     ]
     report = undecodable_logs(spark.createDataFrame(rows, SCHEMA), supported_chains(spark))
     found = {(r.blockchain, r.reason): r.rejected_logs for r in report.collect()}
-    assert found == {("base", "deposit id out of range"): 1, ("nowhere", "unknown chain"): 1, ("base", "unknown event"): 1}
+    assert found == {
+        ("base", "deposit id out of range"): 1, ("base", "data cut short"): 1, ("nowhere", "unknown chain"): 1, ("base", "unknown event"): 1
+    }
