@@ -13,11 +13,12 @@ the probability of their similarity. Points later than a bound that follows
 from the total weight cannot be the earliest and are never made.
 
 Equal texts are put together first. Of the others, those that agree in a band
-are candidates: all pairs of a small bucket, and of a larger one each member
-with a few of its members drawn by a hash, repeated with twice as many for the
-members that found no partner. Candidates are verified on whole texts, best
-estimates first, and only across parts that are not yet linked. Classes are the
-connected components of the verified links.
+are candidates: each with a member of its bucket drawn by a hash, and then,
+across the parts that these links leave, all pairs of a small bucket, and of a
+larger one each member with a few drawn ones, with twice as many in the next
+round for the members that found no partner. A pair within a part needs no
+test. Candidates are verified on whole texts. Classes are the connected
+components of the verified links.
 
 Defined results: NULL text counts as empty; texts without words are copies of
 each other only if equal; a class is named by its least non-NULL id; one row of
@@ -27,6 +28,7 @@ each class is kept, that of the least id (of equal rows any one).
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -36,15 +38,19 @@ from pyspark.sql import functions as F
 
 from spanledger.llm import words
 from spanledger.llm.batches import map_batches
+from spanledger.llm.prefilter import flagged, without
 from spanledger.session import stored
 
 SHINGLE, SIMILAR = 5, 0.8
 BANDS, ROWS = 32, 6
 SLOTS = BANDS * ROWS
-SMALL, DRAWN = 16, 3
+SMALL, DRAWN, MORE = 64, 8, 4
 # Below the mean of the share of equal bytes at SIMILAR by 4.5 standard deviations.
 LEAST_EQUAL = int(SLOTS * (SIMILAR + (1 - SIMILAR) / 256) - 4.5 * (SLOTS * SIMILAR * (1 - SIMILAR)) ** 0.5)
-BATCH = 2_000_000
+# The same for the share of equal low bits.
+LEAST_BITS = int(SLOTS * (1 + SIMILAR) / 2 - 4.5 * (SLOTS * (1 + SIMILAR) / 2 * (1 - SIMILAR) / 2) ** 0.5)
+WORDS = SLOTS // 64
+BATCH = 1_000_000
 
 _A, _B, _C = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB))
 
@@ -167,11 +173,11 @@ def digest(text: Column) -> Column:
     return F.unhex(F.md5(F.coalesce(text, F.lit("")).cast("binary")))
 
 
-SIGNATURE = "digest binary, weight bigint, keys array<bigint>, sketch binary"
+SIGNATURE = "digest binary, weight bigint, keys array<bigint>, bits array<bigint>, sketch binary"
 
 
 def sign(docs: DataFrame) -> DataFrame:
-    """One row per distinct text that has words: digest, runs, band keys, and a byte of each slot."""
+    """One row per distinct text that has words: digest, runs, band keys, and a bit and a byte of each slot."""
 
     def batches(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in rows:
@@ -186,32 +192,80 @@ def sign(docs: DataFrame) -> DataFrame:
                 keys = pa.ListArray.from_arrays(
                     pa.array(np.arange(len(some) + 1) * BANDS, pa.int32()), pa.array(bands(marks[some]).reshape(-1), pa.int64())
                 )
+                packed = np.packbits((marks[some] & np.uint64(1)).astype(np.uint8), axis=1).reshape(-1).view(np.int64)
+                bits = pa.ListArray.from_arrays(pa.array(np.arange(len(some) + 1) * WORDS, pa.int32()), pa.array(packed, pa.int64()))
                 sketch = pa.array([x.tobytes() for x in (marks[some] & np.uint64(255)).astype(np.uint8)], pa.binary())
                 yield pa.RecordBatch.from_arrays(
-                    [names.take(pa.array(some)).cast(pa.binary()), pa.array(total[some], pa.int64()), keys, sketch],
-                    ["digest", "weight", "keys", "sketch"],
+                    [names.take(pa.array(some)).cast(pa.binary()), pa.array(total[some], pa.int64()), keys, bits, sketch],
+                    ["digest", "weight", "keys", "bits", "sketch"],
                 )
 
     return map_batches(docs.select(digest(F.col("text")).alias("digest"), F.coalesce("text", F.lit("")).alias("text")), batches, SIGNATURE)
 
 
-def _pairs(members: DataFrame, asked: DataFrame) -> DataFrame:
-    """Pairs of an asked and another member of a bucket, the lesser first, if their weights allow the similarity."""
-    other = asked.select("bucket", F.col("node").alias("node2"), F.col("weight").alias("weight2"))
-    close = F.least("weight", "weight2") >= SIMILAR * F.greatest("weight", "weight2")
-    pairs = members.join(other, "bucket").where((F.col("node") != F.col("node2")) & close)
-    return pairs.select(F.least("node", "node2").alias("a"), F.greatest("node", "node2").alias("b"), "bucket")
+def buckets(signed: DataFrame) -> DataFrame:
+    """Members of the buckets that hold more than one, stored: bucket, node, weight, bits, size ``n`` and a ``pivot`` drawn by a hash."""
+    each = signed.select("node", "weight", *[F.col("bits")[k].alias(f"b{k}") for k in range(WORDS)], F.explode("keys").alias("bucket"))
+    drawn = F.min(F.struct(F.xxhash64("node", "bucket").alias("h"), "node", "weight", *BIT_NAMES)).alias("pivot")
+    sizes = stored(each.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"), drawn).where(F.col("n") > 1))
+    return stored(each.join(sizes.hint("merge"), "bucket"))
 
 
-def _sized(members: DataFrame) -> DataFrame:
-    sizes = members.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 1)
-    return members.join(stored(sizes), "bucket")
+BIT_NAMES = [f"b{k}" for k in range(WORDS)]
 
 
-def _estimated(pairs: DataFrame, sketches: DataFrame) -> DataFrame:
-    """The pairs whose sketches allow the similarity, with the number of equal bytes."""
-    left = sketches.select(F.col("node").alias("a"), F.col("sketch").alias("sa"))
-    right = sketches.select(F.col("node").alias("b"), F.col("sketch").alias("sb"))
+def _equal(other: str) -> Column:
+    """Equal low bits of a row's slots and those of another node, whose columns are named with a mark."""
+    return reduce(lambda a, b: a - b, [F.bit_count(F.col(b).bitwiseXOR(F.col(f"{other}{b}"))) for b in BIT_NAMES], F.lit(SLOTS))
+
+
+def _near(node: str, other: str) -> Column:
+    """Two different nodes whose weights and bits allow the similarity."""
+    weights = F.least("weight", f"{other}weight") >= SIMILAR * F.greatest("weight", f"{other}weight")
+    return (F.col(node) != F.col(f"{other}{node}")) & weights & (_equal(other) >= LEAST_BITS)
+
+
+def _ordered(other: str) -> list[Column]:
+    return [F.least("node", f"{other}node").alias("a"), F.greatest("node", f"{other}node").alias("b"), _equal(other).alias("equal")]
+
+
+def with_pivots(members: DataFrame) -> DataFrame:
+    """Candidates (``a``, ``b``, ``equal``): each member of a bucket with the bucket's pivot, stored."""
+    return stored(members.where(_near("node", "pivot.")).select(*_ordered("pivot.")).distinct())
+
+
+def across_parts(members: DataFrame, signed: DataFrame, parts: DataFrame) -> DataFrame:
+    """Candidates between members of a bucket that lie in different ``parts`` (node, least), stored: all pairs of a
+    small bucket; of a larger one every member with a few of them drawn by a hash, and again with more for the
+    members that are in no part of several and found no partner by estimate.
+    """
+    of_draw = Window.partitionBy("bucket").orderBy(F.xxhash64("node", "bucket"), "node")
+    held = members.drop("pivot").join(parts.hint("merge"), "node", "left")
+    held = stored(held.withColumns({"alone": F.col("least").isNull(), "least": F.coalesce("least", "node")}))
+    found: list[DataFrame] = []
+    drawn = DRAWN
+    while not held.isEmpty():
+        large = held.where(F.col("n") > SMALL)
+        some = large.withColumn("r", F.row_number().over(of_draw)).where(F.col("r") <= drawn).drop("r")
+        asked = stored(some.unionByName(held.where(F.col("n") <= SMALL)))
+        other = asked.select(*[F.col(c).alias(f"_{c}") for c in ("bucket", "node", "weight", "least", *BIT_NAMES)])
+        pairs = held.join(other.hint("merge"), (F.col("bucket") == F.col("_bucket")) & (F.col("least") != F.col("_least")) & _near("node", "_"))
+        found.append(stored(pairs.select(*_ordered("_")).distinct()))
+        if large.isEmpty():
+            break
+        met = found[-1].select(F.explode(F.array("a", "b")).alias("node")).distinct()
+        rest = large.where("alone").join(asked.select("bucket", "node"), ["bucket", "node"], "left_anti").join(met, "node", "left_anti")
+        rest = stored(rest.drop("n"))
+        sizes = rest.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 1)
+        held = stored(rest.join(stored(sizes), "bucket"))
+        drawn *= MORE
+    return _by_sketch(reduce(DataFrame.unionByName, found).select("a", "b").distinct(), signed) if found else None
+
+
+def _by_sketch(pairs: DataFrame, signed: DataFrame) -> DataFrame:
+    """The pairs whose sketches allow the similarity, stored."""
+    left = signed.select(F.col("node").alias("a"), F.col("sketch").alias("sa"))
+    right = signed.select(F.col("node").alias("b"), F.col("sketch").alias("sb"))
 
     @F.pandas_udf("int")
     def equal(x, y):
@@ -219,35 +273,17 @@ def _estimated(pairs: DataFrame, sketches: DataFrame) -> DataFrame:
 
         return pd.Series([int((np.frombuffer(p, np.uint8) == np.frombuffer(q, np.uint8)).sum()) for p, q in zip(x, y, strict=True)], dtype="int32")
 
-    joined = pairs.join(left, "a").join(right, "b").select("a", "b", equal("sa", "sb").alias("equal"))
-    return joined.where(F.col("equal") >= LEAST_EQUAL)
+    joined = pairs.join(left.hint("merge"), "a").join(right.hint("merge"), "b")
+    return stored(joined.where(equal("sa", "sb") >= LEAST_EQUAL).select("a", "b"))
 
 
-def candidates(signed: DataFrame) -> DataFrame:
-    """Pairs of nodes (``a``, ``b``, ``equal``), stored. ``signed``: node, weight, keys, sketch.
-
-    A round leaves out of a large bucket the members that found a partner by
-    their estimate; what is left meets twice as many members in the next.
-    """
-    sketches = signed.select("node", "sketch")
-    each = signed.select("node", "weight", F.explode("keys").alias("bucket"))
-    members = stored(_sized(each))
-    drawn, found = DRAWN, None
-    while True:
-        small = members.where(F.col("n") <= SMALL).drop("n")
-        large = members.where(F.col("n") > SMALL).drop("n")
-        first = Window.partitionBy("bucket").orderBy(F.xxhash64("node", "bucket"), "node")
-        asked = large.withColumn("_r", F.row_number().over(first)).where(F.col("_r") <= drawn).drop("_r")
-        own = small.select("bucket", "node", "weight")
-        pairs = _pairs(small, own).unionByName(_pairs(large, asked)).groupBy("a", "b").agg(F.lit(1).alias("_")).drop("_")
-        more = stored(_estimated(pairs, sketches))
-        found = more if found is None else found.unionByName(more)
-        rest = large.join(stored(asked.select("bucket", "node")), ["bucket", "node"], "left_anti")
-        met = stored(more.select("a").union(more.select("b")).distinct())
-        members = stored(_sized(rest.join(met.withColumnRenamed("a", "node"), "node", "left_anti")))
-        drawn *= 2
-        if members.isEmpty():
-            return stored(found.groupBy("a", "b").agg(F.max("equal").alias("equal")))
+def texts_of(pairs: DataFrame, signed: DataFrame, docs: DataFrame) -> DataFrame:
+    """Whole texts (``node``, ``text``) of the nodes in the pairs, stored; texts of other nodes don't move."""
+    nodes = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
+    named = stored(signed.select("node", "digest").join(nodes.hint("merge"), "node"))
+    every = docs.select(digest(F.col("text")).alias("digest"), "text")
+    some = flagged(every, F.col("digest"), named.select("digest"), "maybe").where("maybe").drop("maybe")
+    return stored(some.join(named.hint("merge"), "digest").groupBy("node").agg(F.first("text").alias("text")))
 
 
 def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
@@ -261,50 +297,48 @@ def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
 
         return pd.Series(similarity(list(x), list(y)))
 
-    joined = pairs.select("a", "b").join(left, "a").join(right, "b")
+    joined = pairs.select("a", "b").join(left.hint("merge"), "a").join(right.hint("merge"), "b")
     return stored(joined.select("a", "b", compare("ta", "tb").alias("similarity")).where(F.col("similarity") >= SIMILAR))
 
 
 def components(links: DataFrame) -> DataFrame:
     """The least node (``least``) of the connected component of every node in the links (``a``, ``b``), stored.
 
-    Each round takes the least label among the neighbours, then the label of that label.
+    Each round takes the least label among the neighbours, then the label of that label. Labels only
+    become less, so an unchanged sum ends it.
     """
     edges = stored(links.select("a", "b").union(links.select(F.col("b").alias("a"), F.col("a").alias("b"))).where("a <> b").distinct())
     labels = stored(edges.groupBy(F.col("a").alias("node")).agg(F.least(F.min("b"), F.col("a")).alias("least")))
-    while True:
+    total = None
+    while total != (total := labels.agg(F.sum(F.col("least").cast("decimal(38,0)"))).first()[0]):
         near = edges.join(labels.select(F.col("node").alias("b"), "least"), "b").select(F.col("a").alias("node"), "least")
         best = stored(near.union(labels.select("node", "least")).groupBy("node").agg(F.min("least").alias("least")))
         jump = best.select(F.col("node").alias("least"), F.col("least").alias("further"))
-        following = best.join(jump, "least").select("node", F.least("least", "further").alias("least"))
-        old = labels.withColumnRenamed("least", "old")
-        labels = stored(following)
-        if labels.join(old, "node").where(F.col("least") != F.col("old")).isEmpty():
-            return labels
+        labels = stored(best.join(jump, "least").select("node", F.least("least", "further").alias("least")))
+    return labels
 
 
 def classes(docs: DataFrame) -> DataFrame:
-    """Digest and component of every text that is linked to another one: ``digest``, ``least``."""
+    """Digest and component of every text that is linked to another one, stored: ``digest``, ``least``."""
     unique = sign(docs).dropDuplicates(["digest"])
     signed = stored(unique.withColumn("node", F.monotonically_increasing_id()))
-    pairs = candidates(signed)
-    nodes = stored(pairs.select("a").union(pairs.select("b")).distinct().withColumnRenamed("a", "node"))
-    named = stored(signed.select("node", "digest").join(nodes, "node"))
-    every = docs.select(digest(F.col("text")).alias("digest"), "text").join(named, "digest")
-    texts = stored(every.groupBy("node").agg(F.first("text").alias("text")))
-    # First the best candidate of every node; then whatever still lies across two parts.
-    ends = pairs.select("a", "b", "equal", F.explode(F.array("a", "b")).alias("node"))
+    members = buckets(signed)
+    near = with_pivots(members)
+    # First the best candidate of every node; then all that lie across the parts this gives.
+    ends = near.select("a", "b", "equal", F.explode(F.array("a", "b")).alias("node"))
     best = ends.groupBy("node").agg(F.max_by(F.struct("a", "b"), F.struct("equal", -F.col("a"), -F.col("b"))).alias("p"))
-    links = verified(best.select("p.a", "p.b").distinct(), texts)
+    best = stored(best.select("p.a", "p.b").distinct())
+    links = verified(best, texts_of(best, signed, docs))
     parts = components(links)
     la = parts.select(F.col("node").alias("a"), F.col("least").alias("la"))
     lb = parts.select(F.col("node").alias("b"), F.col("least").alias("lb"))
-    across = pairs.join(la, "a", "left").join(lb, "b", "left").where(F.coalesce("la", "a") != F.coalesce("lb", "b"))
-    tried = best.select("p.a", "p.b").distinct()
-    more = verified(stored(across.select("a", "b").join(tried, ["a", "b"], "left_anti")), texts)
-    if not more.isEmpty():
-        parts = components(links.unionByName(more))
-    return stored(named.join(parts, "node").select("digest", "least"))
+    left = near.join(la, "a", "left").join(lb, "b", "left").where(F.coalesce("la", "a") != F.coalesce("lb", "b")).select("a", "b")
+    across = across_parts(members, signed, parts)
+    every = left if across is None else left.union(across).distinct()
+    rest = stored(every.join(best, ["a", "b"], "left_anti"))
+    if not rest.isEmpty():
+        parts = components(links.unionByName(verified(rest, texts_of(rest, signed, docs))))
+    return stored(signed.select("node", "digest").join(parts.hint("merge"), "node").select("digest", "least"))
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
@@ -312,14 +346,14 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     found = classes(docs)
     keyed = docs.select("doc_id", digest(F.col("text")).alias("digest"))
     exact = keyed.groupBy("digest").agg(F.min("doc_id").alias("own"), F.count(F.lit(1)).alias("copies"))
-    texts = stored(exact.join(found, "digest", "left"))
+    texts = stored(exact.join(found.hint("merge"), "digest", "left"))
     # A class of one text is named by that text, a linked one by its component.
     name = F.coalesce(F.col("least").cast("string"), F.hex("digest"))
     whole = texts.groupBy(name.alias("name")).agg(
         F.min("own").alias("class_id"), F.sum("copies").alias("class_rows"), F.min(F.struct(F.col("own").isNull(), "own", "digest"))["digest"].alias("class_digest")
     )
     of_text = stored(texts.select("digest", name.alias("name")).join(whole, "name").drop("name"))
-    return keyed.join(of_text, "digest")
+    return keyed.join(of_text.hint("merge"), "digest")
 
 
 def deduplicate(docs: DataFrame) -> DataFrame:
@@ -330,11 +364,11 @@ def deduplicate(docs: DataFrame) -> DataFrame:
     rows = near_duplicates(docs)
     stays = F.col("doc_id").eqNullSafe(F.col("class_id")) & (F.col("digest") == F.col("class_digest"))
     judged = stored(rows.groupBy("doc_id", "digest").agg(F.max(stays).alias("stays"), F.count(F.lit(1)).alias("n")))
-    name = "_digest" + "_" * max(map(len, docs.columns))
+    name, d, i = (n + "_" * max(map(len, docs.columns)) for n in ("_digest", "_d", "_i"))  # no column is named so
     tagged = docs.withColumn(name, digest(F.col("text")))
-    same = (F.col(name) == F.col("_d")) & F.col("doc_id").eqNullSafe(F.col("_i"))
-    short = [F.col("digest").alias("_d"), F.col("doc_id").alias("_i")]
-    kept = tagged.join(judged.where(~F.col("stays")).select(*short), same, "left_anti")
+    same = (F.col(name) == F.col(d)) & F.col("doc_id").eqNullSafe(F.col(i))
+    short = [F.col("digest").alias(d), F.col("doc_id").alias(i)]
+    kept = without(tagged, F.col(name), judged.where(~F.col("stays")).select(*short), same)
     columns = [F.col(f"`{c}`") for c in docs.columns]
     repeated = judged.where(F.col("stays") & (F.col("n") > 1)).select(*short)
     if repeated.isEmpty():

@@ -98,21 +98,40 @@ def _best(text: Column, idf: dict[str, float], other: float, templates: list[tup
         parts.append((name, _map({t: c * idf[t] / norm for t, c in x.items()})))
 
     def over(tokens: Column) -> Column:
-        def weighed(t: Column) -> Column:
-            count = F.size(F.filter(tokens, lambda x: x == t)).cast("double")
-            return F.struct(t.alias("t"), (count * F.coalesce(F.try_element_at(known, t), F.lit(other))).alias("w"))
+        own = F.filter(tokens, lambda t: F.map_contains_key(known, t))
+        rest = _squares(F.array_sort(F.filter(tokens, lambda t: ~F.map_contains_key(known, t)))) * F.lit(other * other)
+        return let(F.struct(own.alias("own"), rest.alias("rest")), lambda x: let(_weighed(x["own"], known), lambda terms: best(terms, x["rest"])))
+
+    def best(terms: Column, rest: Column) -> Column:
+        norm = F.sqrt(F.aggregate(terms, rest, lambda a, x: a + x["w"] * x["w"]))
+        scores = []
+        for name, own in parts:
+            cosine = F.coalesce(F.try_divide(_dot(terms, own), norm), F.lit(0.0))
+            scores.append(F.struct((-cosine).alias("less"), F.lit(name).alias("name")))
+        return F.array_min(F.array(*scores))
 
-        def total(terms: Column) -> Column:
-            norm = F.sqrt(F.aggregate(terms, F.lit(0.0), lambda a, x: a + x["w"] * x["w"]))
-            scores = []
-            for name, own in parts:
-                cosine = F.coalesce(F.try_divide(_dot(terms, own), norm), F.lit(0.0))
-                scores.append(F.struct((-cosine).alias("less"), F.lit(name).alias("name")))
-            return F.array_min(F.array(*scores))
+    return let(words.words(text), over)
 
-        return let(F.transform(F.array_sort(F.array_distinct(tokens)), weighed), total)
 
-    return let(words.words(text), over)
+def _weighed(tokens: Column, idf: Column) -> Column:
+    """Each distinct one of a few words with its weight, in their order."""
+
+    def weight(t: Column) -> Column:
+        count = F.size(F.filter(tokens, lambda x: x == t)).cast("double")
+        return F.struct(t.alias("t"), (count * F.element_at(idf, t)).alias("w"))
+
+    return F.transform(F.array_sort(F.array_distinct(tokens)), weight)
+
+
+def _squares(ordered: Column) -> Column:
+    """Sum of the squared counts of the words of a sorted array, in one pass."""
+    start = F.struct(F.lit("").alias("word"), F.lit(0).cast("bigint").alias("run"), F.lit(0.0).alias("sum"))
+
+    def step(a: Column, t: Column) -> Column:
+        run = F.when(t == a["word"], a["run"] + 1).otherwise(F.lit(1).cast("bigint"))
+        return F.struct(t.alias("word"), run.alias("run"), (a["sum"] + (run * 2 - 1).cast("double")).alias("sum"))
+
+    return F.aggregate(ordered, start, step, lambda a: a["sum"])
 
 
 def scan(docs: DataFrame, path: Column, text: str = "text", least: float = LEAST, templates: list[tuple[str, str]] = TEMPLATES) -> DataFrame:

@@ -29,6 +29,7 @@ from pyspark.sql import functions as F
 
 from spanledger.llm import words
 from spanledger.llm.batches import map_batches
+from spanledger.llm.prefilter import without
 from spanledger.session import stored
 
 WINDOW = 10
@@ -235,4 +236,4 @@ def clean(docs: DataFrame, items: DataFrame, size: int = WINDOW) -> DataFrame:
     found = contaminated_documents(docs, items, digest, size).where("contaminated")
     name = "_digest" + "_" * max(map(len, docs.columns))
     held = stored(found.select(F.col("key").alias(name)).distinct())
-    return docs.withColumn(name, digest).join(held, name, "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
+    return without(docs, digest, held).select(*[F.col(f"`{c}`") for c in docs.columns])
