@@ -66,6 +66,7 @@ _MARKUP = re.compile(
 )
 _MARK = re.compile(r"\b(class|id|role|hidden|aria-hidden|style)\b(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?", re.I)
 _WORD = re.compile(r"[^\W\d_]+")
+_CLOSING = re.compile(r"^\s*(?:©|\(c\)\s|copyright\b)|\ball rights reserved\b", re.I)
 
 
 @dataclass
@@ -157,6 +158,16 @@ def blocks(html: str) -> list[Block]:
     return out
 
 
+def _stops(text: str) -> float:
+    words = _WORD.findall(text.lower())
+    return sum(w in STOP_WORDS for w in words) / len(words) if words else 0.0
+
+
+def _leans(b: Block) -> bool:
+    """Whether an open block reads like a sentence: a decided article block on either side is enough then."""
+    return not b.linked and _stops(b.text) >= STOPS_LOW
+
+
 def _first_pass(b: Block, container: bool) -> bool | None:
     """True for text, False for boilerplate, None while it is open."""
     if b.boiler or (container and not b.content):
@@ -164,20 +175,24 @@ def _first_pass(b: Block, container: bool) -> bool | None:
     links = b.linked / len(b.text)
     if links > LINKS:
         return False
-    words = _WORD.findall(b.text.lower())
-    stops = sum(w in STOP_WORDS for w in words) / len(words) if words else 0.0
+    stops = _stops(b.text)
+    if not container and len(b.text) < LONG and _CLOSING.search(b.text):
+        return False
     if len(b.text) < SHORT or b.heading:
-        return None
+        return False if b.linked and not container and not b.heading else None
     if container or stops >= STOPS_HIGH or (len(b.text) >= LONG and stops >= STOPS_LOW):
         return True
-    return None if len(b.text) >= LONG or stops >= STOPS_LOW else False
+    return False if b.linked and len(b.text) < LONG and stops < STOPS_LOW else None
 
 
-def _second_pass(labels: list[bool | None], heads: list[bool], container: bool) -> list[bool]:
-    """Open blocks take the label of the nearest decided neighbour, headings of the one they head.
+def _second_pass(labels: list[bool | None], heads: list[bool], leans: list[bool], container: bool) -> list[bool]:
+    """Open blocks take the label of the nearest decided neighbour, headings of the one they head, and
+    blocks that lean to the article that of either neighbour that is in it.
 
-    At equal distance the article wins only in a container.
+    At equal distance the article wins only in a container. Where no block is decided to be text, the open ones are.
     """
+    if True not in labels:
+        return [x is None for x in labels]
     n, out = len(labels), []
     before, after = [None] * n, [None] * n
     seen = None
@@ -196,11 +211,12 @@ def _second_pass(labels: list[bool | None], heads: list[bool], container: bool)
         if heads[i] and b is not None:
             out.append(bool(labels[b]))
             continue
+        if leans[i] and True in [labels[k] for k in (a, b) if k is not None]:
+            out.append(True)
+            continue
         near = [labels[a]] if a is not None else []
         near += [labels[b]] if b is not None else []
-        if not near:
-            out.append(container)
-        elif len(set(near)) == 1 or i - a == b - i:
+        if len(set(near)) == 1 or i - a == b - i:
             out.append(near[0] if len(set(near)) == 1 else container)
         else:
             out.append(bool(labels[a] if i - a < b - i else labels[b]))
@@ -214,7 +230,7 @@ def main_text(html: str | None) -> str:
     if container:
         # What lies outside is decided; inside, only decided neighbours inside count.
         found = [b for b in found if b.content and not b.boiler]
-    labels = _second_pass([_first_pass(b, container) for b in found], [b.heading for b in found], container)
+    labels = _second_pass([_first_pass(b, container) for b in found], [b.heading for b in found], [_leans(b) for b in found], container)
     return "\n".join(b.text for b, keep in zip(found, labels, strict=True) if keep)
 
 

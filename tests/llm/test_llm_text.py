@@ -24,6 +24,10 @@ PAGES = {
         "<div class='sidebar'>Side</div><script>var x = '<p>no</p>';</script>",
         f"Head\n{(SENTENCE * 2).strip()}\nShort.\n{(SENTENCE * 3).strip()}",
     ),
+    "junk without container": ("<nav><a href=1>x</a></nav><h1>Te Te</h1><p>" + "Te " * 40 + "</p><p>a | b</p><footer>f</footer>", "Te Te\n" + ("Te " * 40).strip() + "\na | b"),
+    "closing line": (f"<p>{SENTENCE * 2}</p><p>© 2024 example. All rights reserved.</p>", (SENTENCE * 2).strip()),
+    "table layout": (f"<table><tr><td><a href=1>One</a><td><p>{SENTENCE * 2}<p>{SENTENCE * 2}</table>", "\n".join([(SENTENCE * 2).strip()] * 2)),
+    "comments": (f"<div id=content><p>{SENTENCE}</p><div class='comment-list'><article class=comment><p>{SENTENCE}</p></article></div></div>", SENTENCE.strip()),
     "symbols": ("<article><p>Oi### tre%%% &lt;b&gt;</p><p>&eacute;&#233;&nbsp;x</p></article>", "Oi### tre%%% <b>\néé x"),
     "broken": ("<article><p><b>First.<br><p>Second <a href='x'>y</a> and <i>more<p>Third</article", "First.\nSecond y and more\nThird</article"),
     "ad before": ("<div class=ad>Buy the best of it.</div><article><p>Text.</p></article>", "Text."),
