@@ -158,7 +158,9 @@ def expand_refunds(unified: DataFrame, hourly: DataFrame) -> DataFrame:
     """One row per relayer payout: the i-th amount goes to the i-th address.
 
     Entries without a partner (lists of different length) and blanks drop out.
-    The explode happens inside each task, without a shuffle.
+    The explode happens inside each task, without a shuffle. The raw amount is
+    a DOUBLE; ``refund_amount_exact`` holds all its digits up to 38 of them,
+    so that payouts sum to their batch, and is NULL beyond.
     """
     pairs = F.arrays_zip(
         F.split("refund_amounts_string", ",").alias("amount"), F.split("refund_addresses_string", ",").alias("address")
@@ -192,6 +194,7 @@ def expand_refunds(unified: DataFrame, hourly: DataFrame) -> DataFrame:
         "refund_token_symbol",
         amount.alias("refund_amount"),
         "refund_amount_raw",
+        F.col("amount_text").try_cast("decimal(38,0)").alias("refund_amount_exact"),
         "refund_token_price_usd",
         usd_value(amount, F.col("refund_token_price_usd"), C.DEFAULT_TOKEN_PRICE).alias("refund_amount_usd"),
         F.col("total_refund_amount").alias("batch_total_amount"),

@@ -95,7 +95,7 @@ def fill_rate_by_route(spark, sf_dir):
 
 def _register_model(name: str, oracle: str, columns: list[str] | None = None, places: int = 4) -> None:
     def run(spark, sf_dir):
-        return _rounded(getattr(bridge(spark, sf_dir), name), columns or [], places)
+        return _rounded(getattr(bridge(spark, sf_dir), name).drop("refund_amount_exact"), columns or [], places)
 
     run.__doc__ = f"The model ``{name}`` over landed logs."
     query(oracle, name)(run)
@@ -112,6 +112,16 @@ _register_model("refunds_expanded", O._model("refunds_expanded"))
 _register_model("deposit_fill_matching", O._model("deposit_fill_matching"))
 
 
+@query(
+    """SELECT u.transaction_hash, count(*)::BIGINT AS payouts, CAST(sum(l.raw) AS VARCHAR) AS total_raw FROM unified_refunds u
+    JOIN rl2 l ON u.transaction_hash = printf('0xe%063x', l.k) GROUP BY u.transaction_hash"""
+)
+def refund_payouts_exact(spark, sf_dir):
+    """The payouts of each refund batch and their exact sum, in all digits."""
+    payouts = bridge(spark, sf_dir).refunds_expanded.groupBy("transaction_hash")
+    return payouts.agg(F.count("*").alias("payouts"), F.sum("refund_amount_exact").cast("string").alias("total_raw"))
+
+
 def _register_mart(name: str, model: str, oracle: str, columns: list[str]) -> None:
     """``columns`` are sums of doubles: shown to the cent, as their last digits depend on the order of rows."""
 
