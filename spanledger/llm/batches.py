@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame
 
-BATCH_BYTES, BATCH_ROWS = "8m", "4000"
+BATCH_BYTES, BATCH_ROWS = "4m", "4000"
 
 
 def map_batches(df: DataFrame, function: Callable, schema: str) -> DataFrame:

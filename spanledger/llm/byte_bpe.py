@@ -25,9 +25,10 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 
+from spanledger.llm import words
 from spanledger.llm.batches import map_batches
 
-SLICE = 20_000
+SLICE, RUN = 4_000, 1_500_000
 
 
 def byte_characters() -> dict[int, str]:
@@ -129,6 +130,13 @@ def _cut_offsets(data: memoryview, lengths: np.ndarray) -> tuple[np.ndarray, np.
     return character[ends - lengths], character[ends - 1] + 1
 
 
+def _runs(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Slices of the batches with at most ``RUN`` bytes of text (second column), or one text."""
+    for batch in rows:
+        for a, b in words.runs(batch.column(1), RUN):
+            yield batch.slice(a, b - a)
+
+
 def encode(df: DataFrame, path: str, pattern: str, key: str = "doc_id", text: str = "text") -> DataFrame:
     """Ids of every text with the characters each covers: ``key``, ids, first and end (``array<int>``)."""
     kind = df.schema[key].dataType.simpleString()
@@ -136,7 +144,7 @@ def encode(df: DataFrame, path: str, pattern: str, key: str = "doc_id", text: st
     def batches(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = _model(path, pattern)[2]
         width = np.diff(np.frombuffer(table.buffers()[1], np.int64)[: len(table) + 1])
-        for batch in rows:
+        for batch in _runs(rows):
             ids, bounds = encode_column(batch.column(1), path, pattern)
             first, end = np.zeros(len(ids), np.int32), np.zeros(len(ids), np.int32)
             for data, a, b in zip(decode_column(ids, bounds, path, pattern), bounds[:-1], bounds[1:], strict=True):
@@ -168,7 +176,7 @@ def digests(df: DataFrame, path: str, pattern: str, key: str = "doc_id", text: s
     kind = df.schema[key].dataType.simpleString()
 
     def batches(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in rows:
+        for batch in _runs(rows):
             ids, bounds = encode_column(batch.column(1), path, pattern)
             listed, at = _joined(_model(path, pattern)[3], ids)
             spans = list(zip(bounds[:-1], bounds[1:], strict=True))

@@ -25,9 +25,9 @@ from pyspark.sql import functions as F
 
 from spanledger.llm.batches import map_batches
 
-SAMPLE_ROWS, SAMPLE_CHARS = 48, 1_000
+SAMPLE_ROWS, SAMPLE_CHARS = 32, 1_000
 STRETCH, SHARP = 512, 60.0
-SYMBOLS = 64
+SYMBOLS = 48
 
 
 @dataclass(frozen=True)
@@ -164,11 +164,11 @@ def predict(texts: list[str], samples: Samples) -> tuple[list[str], list[float]]
 
 
 def _texts(column: pa.Array) -> Iterator[tuple[int, list[str]]]:
-    """Runs of a column of at most about four million bytes, or one text."""
+    """Runs of a column of at most about two million bytes, or one text."""
     widths = pc.fill_null(pc.binary_length(column), 0).to_numpy()
     begin, held = 0, 0
     for i, w in enumerate(widths):
-        if held and held + w > 4_000_000:
+        if held and held + w > 2_000_000:
             yield begin, [x or "" for x in column[begin:i].to_pylist()]
             begin, held = i, 0
         held += int(w)
