@@ -149,25 +149,23 @@ def bands(marks: np.ndarray) -> np.ndarray:
 
 
 def similarity(texts_a: list[str], texts_b: list[str]) -> np.ndarray:
-    """The weighted Jaccard index of each pair; 0 where a text has no words."""
+    """The weighted Jaccard index of each pair; 0 where a text has no words. Each distinct text is cut into runs once."""
+    place = {t: i for i, t in enumerate(dict.fromkeys([*texts_a, *texts_b]))}
+    owner, run, count = shingles(pa.array(list(place), pa.large_string()))
+    at = np.searchsorted(owner, np.arange(len(place) + 1))
     out = np.zeros(len(texts_a))
-    known: dict[str, dict] = {}
     for i, (a, b) in enumerate(zip(texts_a, texts_b, strict=True)):
-        if a not in known:
-            known = {a: _counts(a)}
-        (ha, ca), (hb, cb) = known[a], _counts(b)
-        _, x, y = np.intersect1d(ha, hb, assume_unique=True, return_indices=True)
-        less = int(np.minimum(ca[x], cb[y]).sum())
-        whole = int(ca.sum() + cb.sum()) - less
+        x, y = (slice(at[place[t]], at[place[t] + 1]) for t in (a, b))
+        # Runs of a text are sorted and distinct.
+        k = np.searchsorted(run[y], run[x])
+        k[k == y.stop - y.start] = 0
+        same = run[y][k] == run[x] if y.stop > y.start else np.zeros(x.stop - x.start, bool)
+        less = int(np.minimum(count[x][same], count[y][k[same]]).sum())
+        whole = int(count[x].sum() + count[y].sum()) - less
         out[i] = less / whole if whole else 0.0
     return out
 
 
-def _counts(text: str) -> tuple[np.ndarray, np.ndarray]:
-    _, run, count = shingles(pa.array([text], pa.large_string()))
-    return run, count
-
-
 def digest(text: Column) -> Column:
     """128 bits that stand for a whole text."""
     return F.unhex(F.md5(F.coalesce(text, F.lit("")).cast("binary")))
@@ -245,12 +243,11 @@ def across_parts(members: DataFrame, signed: DataFrame, parts: DataFrame) -> Dat
     found: list[DataFrame] = []
     drawn = DRAWN
     while not held.isEmpty():
-        large = held.where(F.col("n") > SMALL)
-        some = large.withColumn("r", F.row_number().over(of_draw)).where(F.col("r") <= drawn).drop("r")
-        asked = stored(some.unionByName(held.where(F.col("n") <= SMALL)))
-        other = asked.select(*[F.col(c).alias(f"_{c}") for c in ("bucket", "node", "weight", "least", *BIT_NAMES)])
-        pairs = held.join(other.hint("merge"), (F.col("bucket") == F.col("_bucket")) & (F.col("least") != F.col("_least")) & _near("node", "_"))
-        found.append(stored(pairs.select(*_ordered("_")).distinct()))
+        small, large = held.where(F.col("n") <= SMALL), held.where(F.col("n") > SMALL)
+        asked = stored(large.withColumn("r", F.row_number().over(of_draw)).where(F.col("r") <= drawn).drop("r"))
+        # In a small bucket each pair once; a drawn member meets all others, drawn or not.
+        pairs = _meeting(small, small, F.col("node") < F.col("_node")).unionByName(_meeting(large, asked, F.lit(True)))
+        found.append(stored(pairs.distinct()))
         if large.isEmpty():
             break
         met = found[-1].select(F.explode(F.array("a", "b")).alias("node")).distinct()
@@ -262,6 +259,13 @@ def across_parts(members: DataFrame, signed: DataFrame, parts: DataFrame) -> Dat
     return _by_sketch(reduce(DataFrame.unionByName, found).select("a", "b").distinct(), signed) if found else None
 
 
+def _meeting(members: DataFrame, others: DataFrame, which: Column) -> DataFrame:
+    """Candidates between members and others of a bucket that lie in different parts."""
+    other = others.select(*[F.col(c).alias(f"_{c}") for c in ("bucket", "node", "weight", "least", *BIT_NAMES)])
+    same = (F.col("bucket") == F.col("_bucket")) & (F.col("least") != F.col("_least")) & which
+    return members.join(other.hint("merge"), same & _near("node", "_")).select(*_ordered("_"))
+
+
 def _by_sketch(pairs: DataFrame, signed: DataFrame) -> DataFrame:
     """The pairs whose sketches allow the similarity, stored."""
     left = signed.select(F.col("node").alias("a"), F.col("sketch").alias("sa"))
@@ -324,23 +328,31 @@ def classes(docs: DataFrame) -> DataFrame:
     signed = stored(unique.withColumn("node", F.monotonically_increasing_id()))
     members = buckets(signed)
     near = with_pivots(members)
-    # First the best candidate of every node; then all that lie across the parts this gives.
+    # First the best candidate of every node, then the others across the parts this gives, then what else
+    # a bucket holds across parts: each step leaves fewer pairs to the next.
     ends = near.select("a", "b", "equal", F.explode(F.array("a", "b")).alias("node"))
     best = ends.groupBy("node").agg(F.max_by(F.struct("a", "b"), F.struct("equal", -F.col("a"), -F.col("b"))).alias("p"))
     best = stored(best.select("p.a", "p.b").distinct())
     links = verified(best, texts_of(best, signed, docs))
     parts = components(links)
-    la = parts.select(F.col("node").alias("a"), F.col("least").alias("la"))
-    lb = parts.select(F.col("node").alias("b"), F.col("least").alias("lb"))
-    left = near.join(la, "a", "left").join(lb, "b", "left").where(F.coalesce("la", "a") != F.coalesce("lb", "b")).select("a", "b")
-    across = across_parts(members, signed, parts)
-    every = left if across is None else left.union(across).distinct()
-    rest = stored(every.join(best, ["a", "b"], "left_anti"))
+    rest = stored(_across(near.select("a", "b"), parts).join(best, ["a", "b"], "left_anti"))
     if not rest.isEmpty():
+        links = links.unionByName(verified(rest, texts_of(rest, signed, docs)))
+        parts = components(links)
+    rest = across_parts(members, signed, parts)
+    if rest is not None and not rest.isEmpty():
         parts = components(links.unionByName(verified(rest, texts_of(rest, signed, docs))))
     return stored(signed.select("node", "digest").join(parts.hint("merge"), "node").select("digest", "least"))
 
 
+def _across(pairs: DataFrame, parts: DataFrame) -> DataFrame:
+    """The pairs whose nodes lie in different parts; a node in none is a part of its own."""
+    la = parts.select(F.col("node").alias("a"), F.col("least").alias("la"))
+    lb = parts.select(F.col("node").alias("b"), F.col("least").alias("lb"))
+    joined = pairs.join(la, "a", "left").join(lb, "b", "left")
+    return joined.where(F.coalesce("la", "a") != F.coalesce("lb", "b")).select("a", "b")
+
+
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """Every row's ``doc_id`` and text digest with its class: ``class_id``, ``class_digest`` of the row that stays."""
     found = classes(docs)
