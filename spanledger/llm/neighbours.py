@@ -31,10 +31,10 @@ from pyspark.sql import functions as F
 from spanledger.llm.batches import map_batches
 from spanledger.session import stored
 
-DEGREE, MEMBERS, SENT = 24, 48, 4
+DEGREE, MEMBERS, SENT = 32, 64, 6
 TABLES, LEAF, PIECE, FIRST = 4, 200, 512, 12
-ROUNDS, SETTLED = 7, 0.4
-BEAM, EXPAND, STEPS = 128, 24, 10
+ROUNDS, SETTLED = 8, 0.4
+BEAM, EXPAND, STEPS = 256, 32, 14
 GROUP = 400
 
 
