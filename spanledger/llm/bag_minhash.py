@@ -15,10 +15,11 @@ from the total weight cannot be the earliest and are never made.
 Equal texts are put together first. Of the others, those that agree in a band
 are candidates: each with a member of its bucket drawn by a hash, and then,
 across the parts that these links leave, all pairs of a small bucket, and of a
-larger one each member with a few drawn ones, with twice as many in the next
-round for the members that found no partner. A pair within a part needs no
-test. Candidates are verified on whole texts. Classes are the connected
-components of the verified links.
+larger one each member with a few drawn ones. What larger buckets then still
+hold in different parts is compared pair by pair, block against block, by a
+longer signature; none is left out. A pair within a part needs no test.
+Candidates are verified on whole texts. Classes are the connected components of
+the verified links.
 
 Defined results: NULL text counts as empty; texts without words are copies of
 each other only if equal; a class is named by its least non-NULL id; one row of
@@ -44,11 +45,14 @@ from spanledger.session import stored
 SHINGLE, SIMILAR = 5, 0.8
 BANDS, ROWS = 32, 6
 SLOTS = BANDS * ROWS
-SMALL, DRAWN, MORE = 64, 8, 4
+SMALL, DRAWN, BLOCK = 64, 8, 512
 # Below the mean of the share of equal bytes at SIMILAR by 4.5 standard deviations.
 LEAST_EQUAL = int(SLOTS * (SIMILAR + (1 - SIMILAR) / 256) - 4.5 * (SLOTS * SIMILAR * (1 - SIMILAR)) ** 0.5)
 # The same for the share of equal low bits.
 LEAST_BITS = int(SLOTS * (1 + SIMILAR) / 2 - 4.5 * (SLOTS * (1 + SIMILAR) / 2 * (1 - SIMILAR) / 2) ** 0.5)
+# Slots of the longer signature of members of large buckets, and the same for its bits (about similarity 0.74).
+LONG = 2048
+LEAST_LONG = int(LONG * (1 + SIMILAR) / 2 - 4.5 * (LONG * (1 + SIMILAR) / 2 * (1 - SIMILAR) / 2) ** 0.5)
 WORDS = SLOTS // 64
 BATCH = 1_000_000
 
@@ -90,7 +94,7 @@ def shingles(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 def _points(owner: np.ndarray, run: np.ndarray, count: np.ndarray, bound: np.ndarray, times: np.ndarray, marks: np.ndarray) -> None:
     """Put the earliest point of each slot before the texts' bounds into ``times`` and ``marks`` (one row a text)."""
-    level, cells = 0, []
+    level, cells, slots = 0, [], times.shape[1]
     left = np.arange(len(run))
     while len(left):
         low = 0 if level == 0 else 1 << (level - 1)
@@ -109,12 +113,12 @@ def _points(owner: np.ndarray, run: np.ndarray, count: np.ndarray, bound: np.nda
     while len(own):
         number += 1
         here = mix(seed + np.uint64(number * int(_B) % 2**64))
-        time = time - np.log(_unit(here)) / (SLOTS * width)
+        time = time - np.log(_unit(here)) / (slots * width)
         keep = time < latest
         seed, own, most, time, latest, low, width = (x[keep] for x in (seed, own, most, time, latest, low, width))
         other = mix(here[keep] ^ _A)
         inside = low + width * _unit(mix(other)) < most
-        slot = own[inside] * SLOTS + (other[inside] % np.uint64(SLOTS)).astype(np.int64)
+        slot = own[inside] * slots + (other[inside] % np.uint64(slots)).astype(np.int64)
         when, mark = time[inside], other[inside] >> np.uint64(8)
         # Within a round a slot may be met more than once: the least time, then its mark.
         np.minimum.at(flat_times, slot, when)
@@ -122,13 +126,13 @@ def _points(owner: np.ndarray, run: np.ndarray, count: np.ndarray, bound: np.nda
         flat_marks[slot[first]] = mark[first]
 
 
-def signatures(owner: np.ndarray, run: np.ndarray, count: np.ndarray, n: int) -> np.ndarray:
-    """One row of ``SLOTS`` marks for each of ``n`` texts; all zero for a text without runs."""
+def signatures(owner: np.ndarray, run: np.ndarray, count: np.ndarray, n: int, slots: int = SLOTS) -> np.ndarray:
+    """One row of ``slots`` marks for each of ``n`` texts; all zero for a text without runs."""
     total = np.bincount(owner, count, n)
-    marks = np.zeros((n, SLOTS), np.uint64)
-    times = np.full((n, SLOTS), np.inf)
+    marks = np.zeros((n, slots), np.uint64)
+    times = np.full((n, slots), np.inf)
     todo = np.flatnonzero(total > 0)
-    reach = np.log(SLOTS) + 3.0
+    reach = np.log(slots) + 3.0
     while len(todo):
         part = np.isin(owner, todo)
         bound = reach / np.maximum(total, 1)
@@ -232,31 +236,79 @@ def with_pivots(members: DataFrame) -> DataFrame:
     return stored(members.where(_near("node", "pivot.")).select(*_ordered("pivot.")).distinct())
 
 
-def across_parts(members: DataFrame, signed: DataFrame, parts: DataFrame) -> DataFrame:
-    """Candidates between members of a bucket that lie in different ``parts`` (node, least), stored: all pairs of a
-    small bucket; of a larger one every member with a few of them drawn by a hash, and again with more for the
-    members that are in no part of several and found no partner by estimate.
+def in_parts(members: DataFrame, parts: DataFrame) -> DataFrame:
+    """Members of the buckets that hold several of the ``parts`` (node, least), each with its own, stored."""
+    held = members.drop("pivot").join(parts.hint("merge"), "node", "left")
+    held = stored(held.withColumn("least", F.coalesce("least", "node")))
+    several = held.groupBy("bucket").agg(F.min("least").alias("l"), F.max("least").alias("m")).where("l <> m").select("bucket")
+    return stored(held.join(stored(several).hint("merge"), "bucket"))
+
+
+def across_parts(held: DataFrame, signed: DataFrame) -> DataFrame:
+    """Candidates between members of a bucket that lie in different parts, stored: all pairs of a small bucket; of
+    a larger one every member with a few of them drawn by a hash, so that most parts meet before ``across_blocks``.
     """
     of_draw = Window.partitionBy("bucket").orderBy(F.xxhash64("node", "bucket"), "node")
-    held = members.drop("pivot").join(parts.hint("merge"), "node", "left")
-    held = stored(held.withColumns({"alone": F.col("least").isNull(), "least": F.coalesce("least", "node")}))
-    found: list[DataFrame] = []
-    drawn = DRAWN
-    while not held.isEmpty():
-        small, large = held.where(F.col("n") <= SMALL), held.where(F.col("n") > SMALL)
-        asked = stored(large.withColumn("r", F.row_number().over(of_draw)).where(F.col("r") <= drawn).drop("r"))
-        # In a small bucket each pair once; a drawn member meets all others, drawn or not.
-        pairs = _meeting(small, small, F.col("node") < F.col("_node")).unionByName(_meeting(large, asked, F.lit(True)))
-        found.append(stored(pairs.distinct()))
-        if large.isEmpty():
-            break
-        met = found[-1].select(F.explode(F.array("a", "b")).alias("node")).distinct()
-        rest = large.where("alone").join(asked.select("bucket", "node"), ["bucket", "node"], "left_anti").join(met, "node", "left_anti")
-        rest = stored(rest.drop("n"))
-        sizes = rest.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 1)
-        held = stored(rest.join(stored(sizes), "bucket"))
-        drawn *= MORE
-    return _by_sketch(reduce(DataFrame.unionByName, found).select("a", "b").distinct(), signed) if found else None
+    small, large = held.where(F.col("n") <= SMALL), held.where(F.col("n") > SMALL)
+    asked = stored(large.withColumn("r", F.row_number().over(of_draw)).where(F.col("r") <= DRAWN).drop("r"))
+    # In a small bucket each pair once; a drawn member meets all others, drawn or not.
+    pairs = _meeting(small, small, F.col("node") < F.col("_node")).unionByName(_meeting(large, asked, F.lit(True)))
+    return _by_sketch(pairs.select("a", "b").distinct(), signed)
+
+
+def long_bits(texts: DataFrame) -> DataFrame:
+    """``node`` and a bit of each slot of the longer signature (``long``) of the texts (node, text), stored."""
+
+    def batches(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in rows:
+            for a, b in words.runs(batch.column(1), BATCH):
+                for k in range(a, b, BLOCK):
+                    part = batch.slice(k, min(b - k, BLOCK))
+                    marks = signatures(*shingles(part.column(1)), part.num_rows, LONG)
+                    # The lowest bits of a mark follow from its slot.
+                    packed = np.packbits((marks >> np.uint64(32) & np.uint64(1)).astype(np.uint8), axis=1)
+                    yield pa.RecordBatch.from_arrays([part.column(0), pa.array([x.tobytes() for x in packed], pa.binary())], ["node", "long"])
+
+    return stored(map_batches(texts.select("node", "text"), batches, "node bigint, long binary"))
+
+
+def across_blocks(held: DataFrame, signed: DataFrame, long: DataFrame) -> DataFrame:
+    """Candidates (``a``, ``b``, ``equal``) among all pairs of members of a bucket that lie in different parts, stored.
+
+    A bucket's members are dealt into blocks, and every two blocks meet in a group of their own, so no
+    task holds a whole bucket. A pair is given in the first bucket it shares.
+    """
+    blocks = F.ceil(F.col("n") / BLOCK).cast("int")
+    own = held.select("bucket", "node", "weight", "least", blocks.alias("blocks"))
+    own = own.withColumn("block", F.pmod(F.xxhash64("node", "bucket"), F.col("blocks")).cast("int"))
+    met = own.withColumn("j", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    met = met.select("bucket", "node", "weight", "least", "block", F.least("block", "j").alias("lo"), F.greatest("block", "j").alias("hi"))
+    marks = stored(long.join(signed.select("node", "keys").hint("merge"), "node"))
+    every = met.join(marks.hint("merge"), "node")
+
+    def compare(table: pa.Table) -> pa.Table:
+        node, weight, least, block, bucket = (table[c].to_numpy() for c in ("node", "weight", "least", "block", "bucket"))
+        keys = table["keys"].combine_chunks().flatten().to_numpy().reshape(-1, BANDS)
+        long = np.frombuffer(b"".join(table["long"].to_pylist()), np.uint64).reshape(-1, LONG // 64)
+        lo, hi = table["lo"][0].as_py(), table["hi"][0].as_py()
+        x, y = np.flatnonzero(block == lo), np.flatnonzero(block == hi)
+        found = [np.empty((0, 3), np.int64)]
+        for k in range(0, len(x) if len(y) else 0, 16):
+            i = x[k : k + 16, None]
+            light, heavy = np.minimum(weight[i], weight[y]), np.maximum(weight[i], weight[y])
+            may = (least[i] != least[y]) & (light >= SIMILAR * heavy) & ((lo != hi) | (node[i] < node[y]))
+            p, q = np.nonzero(may)
+            p, q = i[p, 0], y[q]
+            equal = LONG - np.bitwise_count(long[p] ^ long[q]).sum(1, dtype=np.int64)
+            near = equal >= LEAST_LONG
+            p, q, equal = p[near], q[near], equal[near]
+            first = keys[p, (keys[p] == keys[q]).argmax(1)] == bucket[p]
+            p, q, equal = p[first], q[first], equal[first]
+            found.append(np.stack([np.minimum(node[p], node[q]), np.maximum(node[p], node[q]), equal], axis=1))
+        out = np.concatenate(found)
+        return pa.table({"a": out[:, 0], "b": out[:, 1], "equal": out[:, 2]})
+
+    return stored(every.groupBy("bucket", "lo", "hi").applyInArrow(compare, "a bigint, b bigint, equal bigint"))
 
 
 def _meeting(members: DataFrame, others: DataFrame, which: Column) -> DataFrame:
@@ -330,19 +382,40 @@ def classes(docs: DataFrame) -> DataFrame:
     near = with_pivots(members)
     # First the best candidate of every node, then the others across the parts this gives, then what else
     # a bucket holds across parts: each step leaves fewer pairs to the next.
+    links, parts = settle(near, None, signed, docs)
+    held = in_parts(members, parts)
+    if not held.isEmpty():
+        rest = across_parts(held, signed)
+        if not rest.isEmpty():
+            links = links.unionByName(verified(rest, texts_of(rest, signed, docs)))
+            parts = components(links)
+        # Small buckets are done; of large ones every pair that is still across parts.
+        large = members.where(F.col("n") > SMALL)
+        held = large.limit(0) if large.isEmpty() else in_parts(large, parts)
+        if not held.isEmpty():
+            nodes = stored(held.select("node").distinct())
+            long = long_bits(texts_of(nodes.select(F.col("node").alias("a"), F.col("node").alias("b")), signed, docs))
+            tried = near.select("a", "b").union(rest.select("a", "b"))
+            further = stored(across_blocks(held, signed, long).join(tried, ["a", "b"], "left_anti"))
+            links, parts = settle(further, links, signed, docs)
+    return stored(signed.select("node", "digest").join(parts.hint("merge"), "node").select("digest", "least"))
+
+
+def settle(near: DataFrame, links: DataFrame | None, signed: DataFrame, docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Links and their components with the candidates (``a``, ``b``, ``equal``) verified: the best one of every node, then
+    those that still lie across.
+    """
     ends = near.select("a", "b", "equal", F.explode(F.array("a", "b")).alias("node"))
     best = ends.groupBy("node").agg(F.max_by(F.struct("a", "b"), F.struct("equal", -F.col("a"), -F.col("b"))).alias("p"))
     best = stored(best.select("p.a", "p.b").distinct())
-    links = verified(best, texts_of(best, signed, docs))
+    found = verified(best, texts_of(best, signed, docs))
+    links = links.unionByName(found) if links is not None else found
     parts = components(links)
     rest = stored(_across(near.select("a", "b"), parts).join(best, ["a", "b"], "left_anti"))
     if not rest.isEmpty():
         links = links.unionByName(verified(rest, texts_of(rest, signed, docs)))
         parts = components(links)
-    rest = across_parts(members, signed, parts)
-    if rest is not None and not rest.isEmpty():
-        parts = components(links.unionByName(verified(rest, texts_of(rest, signed, docs))))
-    return stored(signed.select("node", "digest").join(parts.hint("merge"), "node").select("digest", "least"))
+    return links, parts
 
 
 def _across(pairs: DataFrame, parts: DataFrame) -> DataFrame:

@@ -174,6 +174,36 @@ def test_near_duplicates_against_brute_force(spark):
     assert sorted([r.doc_id for r in kept.collect()], key=str) == sorted([min(g, key=lambda x: (x is None, x)) for g in least.values()], key=str)
 
 
+def test_near_duplicates_of_a_large_group_around_the_threshold(spark):
+    draw = np.random.default_rng(3)
+    size, base = 2500, [f"w{k}" for k in range(300)]
+    texts, ids = [], {}
+    for i in range(size):
+        copy = list(base)
+        for j, k in enumerate(draw.choice(300, draw.integers(4, 6), replace=False)):
+            copy[k] = f"x{i}n{j}"
+        texts.append(" ".join(copy))
+    runs = [[ids.setdefault(r, len(ids)) for r in shingles_of(t)] for t in texts]  # no run occurs twice in a text
+    counts = Counter(r for x in runs for r in x)
+    common = {r: k for k, r in enumerate(r for r in counts if counts[r] > 1)}
+    held = np.zeros((size, len(common)), np.float32)
+    for i, x in enumerate(runs):
+        held[i, [common[r] for r in x if r in common]] = 1
+    less, n = held @ held.T, np.array([len(x) for x in runs])
+    near = less / (n[:, None] + n - less) >= bag_minhash.SIMILAR
+    least = np.arange(size)
+    while True:
+        new = np.where(near, least, size).min(1)
+        if (new == least).all():
+            break
+        least = new
+    assert 20 < len(set(least.tolist())) < size - 20
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string").repartition(8)
+    got = {r.doc_id: r.class_id for r in bag_minhash.near_duplicates(docs).collect()}
+    wrong = sum(got[i] != c for i, c in enumerate(least.tolist()))
+    assert wrong == 0, f"{wrong} of {size} texts are in another class"
+
+
 def test_components_of_chains_and_stars(spark):
     edges = [(i, i + 1) for i in range(40)] + [(100, i) for i in range(101, 160)] + [(7, 7), (200, 201), (201, 200)]
     got = dict(bag_minhash.components(spark.createDataFrame(edges, "a bigint, b bigint")).collect())
