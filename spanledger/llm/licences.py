@@ -1,15 +1,17 @@
 """Licence scans: TF-IDF cosine of lines and whole texts to templates, then inheritance by directory.
 
-A text's lines, and the text as a whole, are compared with the templates. A
-text that resembles a template as a whole is a licence file; a line that does
-is a header. A file without either takes the licence of the nearest directory
+A text's lines, and the text as a whole, are compared with short notices, and
+the text as a whole with whole licence texts. A text that resembles one of them
+as a whole is a licence file; a line that does is a header. A file without either takes the licence of the nearest directory
 above it that holds a licence file, found by joins on paths.
 
 Words weigh ``tf * (ln((1 + N) / (1 + df)) + 1)`` with counts over all texts of
 the table; a word that no template holds weighs as much as one that occurs
 nowhere. A line is only scored if it holds a salient word: the salient words are
 the fewest of the rarer ones such that no line without them can reach
-``LEAST``, whatever else it holds, so nothing is lost by it.
+``LEAST``, whatever else it holds, so nothing is lost by it. Against whole
+licence texts each distinct word counts once (``tf`` is 1), with the same
+weights over the words of these texts.
 
 Defined results: NULL and empty text has no licence of its own; a NULL path has
 no directory and inherits nothing; of equal scores the name that sorts first
@@ -23,6 +25,7 @@ import math
 import re
 from collections import Counter
 from functools import reduce
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -51,14 +54,22 @@ TEMPLATES = [
     ("CC0-1.0", "Released into the public domain under CC0 1.0."),
 ]
 
+# Whole licence texts by SPDX name, without the holder's line; read on the driver only.
+TEXTS = [(p.stem, p.read_text()) for p in sorted((Path(__file__).parent / "licence_texts").glob("*.txt"))]
+
 
 def template_words(text: str) -> Counter:
     return Counter(w for w in re.split(words.SEPARATORS, text.lower()) if w)
 
 
+def _list(terms: list[str]) -> Column:
+    """Words as a constant array, made of one literal so that plans stay small."""
+    return F.split(F.lit(" ".join(terms)), " ")
+
+
 def document_counts(texts: Column, docs: DataFrame, terms: list[str]) -> tuple[int, dict[str, int]]:
     """Number of rows, and in how many each of the terms occurs. One row a term reaches the driver."""
-    held = F.array_intersect(words.words(texts), F.array(*map(F.lit, terms)))
+    held = F.array_intersect(words.words(texts), _list(terms))
     rows = docs.select(F.explode_outer(F.array_append(held, F.lit(""))).alias("term")).groupBy("term").count().collect()
     counts = {r["term"]: r["count"] for r in rows}
     return counts.get("", 0), counts
@@ -113,6 +124,36 @@ def _best(text: Column, idf: dict[str, float], other: float, templates: list[tup
     return let(words.words(text), over)
 
 
+def _like_texts(text: Column, idf: dict[str, float], other: float, texts: list[tuple[str, set[str]]], least: float) -> Column:
+    """The best whole licence text of a text, as ``_best``; NULL if it holds too few of their words to reach ``least``."""
+    squares = {t: w * w for t, w in idf.items()}
+    known = F.map_from_arrays(_list(sorted(squares)), _list([repr(squares[t]) for t in sorted(squares)]).cast("array<double>"))
+    fewest, parts = [], []
+    for name, x in texts:
+        whole = sum(squares[t] for t in x)
+        left, k = (least * 0.999) ** 2 * whole, 0
+        for w in sorted((squares[t] for t in x), reverse=True):
+            if left <= 0:
+                break
+            left, k = left - w, k + 1
+        fewest.append(k)
+        parts.append((name, _list(sorted(x)), math.sqrt(whole)))
+
+    def total(terms: Column) -> Column:
+        return F.aggregate(terms, F.lit(0.0), lambda a, t: a + F.element_at(known, t))
+
+    def over(held: Column) -> Column:
+        def score(own: Column) -> Column:
+            rest = (F.size(held["all"]) - F.size(own)).cast("double") * other**2
+            norm = F.sqrt(total(own) + rest)
+            scores = [F.struct((-total(F.array_intersect(own, x)) / (norm * y)).alias("less"), F.lit(name).alias("name")) for name, x, y in parts]
+            return F.when(F.size(own) >= min(fewest), F.array_min(F.array(*scores)))
+
+        return let(F.array_intersect(held["all"], _list(sorted(idf))), score)
+
+    return let(F.struct(F.array_distinct(words.words(text)).alias("all")), over)
+
+
 def _weighed(tokens: Column, idf: Column) -> Column:
     """Each distinct one of a few words with its weight, in their order."""
 
@@ -138,7 +179,9 @@ def scan(docs: DataFrame, path: Column, text: str = "text", least: float = LEAST
     """``doc_id``, ``path``, and the text's own ``licence``, ``score`` and ``kind`` (file, header or NULL), stored."""
     counted = [(name, template_words(t)) for name, t in templates]
     terms = sorted({t for _, x in counted for t in x})
-    n, counts = document_counts(F.col(text), docs, terms)
+    texts = [(name, set(template_words(t))) for name, t in TEXTS]
+    text_terms = sorted({t for _, x in texts for t in x})
+    n, counts = document_counts(F.col(text), docs, sorted({*terms, *text_terms}))
     idf = weights(n, counts, terms)
     other = math.log(1 + n) + 1
     some = salient(idf, [x for _, x in counted], least)
@@ -153,8 +196,11 @@ def scan(docs: DataFrame, path: Column, text: str = "text", least: float = LEAST
             F.coalesce(F.array_min(F.transform(lines, lambda x: _best(x, idf, other, counted))), none).alias("line"),
         ),
     )
-    rows = stored(docs.select("doc_id", path.alias("path"), scored.alias("s")))
-    file, line = -F.col("s.whole.less") >= least, -F.col("s.line.less") >= least
+    like = _like_texts(full, weights(n, counts, text_terms), other, texts, least)
+    rows = stored(docs.select("doc_id", path.alias("path"), scored.alias("s"), like.alias("like")))
+    best = F.least("s.whole", "like")
+    rows = rows.select("doc_id", "path", F.struct(best.alias("whole"), F.col("s.line").alias("line")).alias("s"))
+    file, line = F.coalesce(-F.col("s.whole.less") >= least, F.lit(False)), -F.col("s.line.less") >= least
     kind = F.when(file, F.lit("file")).when(line, F.lit("header"))
     licence = F.when(file, F.col("s.whole.name")).when(line, F.col("s.line.name"))
     score = F.when(file, -F.col("s.whole.less")).when(line, -F.col("s.line.less"))

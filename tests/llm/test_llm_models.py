@@ -157,6 +157,17 @@ FILES = [
 ]
 
 
+@pytest.mark.parametrize("name", ["MIT", "BSD-3-Clause", "Apache-2.0"])
+def test_whole_licence_texts_are_files_and_pass_on(spark, name):
+    text = dict(licences.TEXTS)[name].replace("The Regents of the University of California", "Jo Doe").replace("[yyyy] [name of copyright owner]", "2021 Jo Doe")
+    prose = [(10 + k, f"o/{k}.txt", " ".join(f"the word{j % (k + 7)} of a note and more" for j in range(200))) for k in range(40)]
+    rows = [(1, "r/LICENSE", "Copyright (c) 2021 Jo Doe and friends\n\n" + text), (2, "r/a/x.py", "import os"), *prose]
+    docs = spark.createDataFrame(rows, "doc_id bigint, path string, text string")
+    got = {r.doc_id: (r.licence, r.how, r.licensed_by) for r in licences.inherit(licences.scan(docs, F.col("path"))).collect()}
+    assert got[1] == (name, "file", None) and got[2] == (name, "inherited", "r")
+    assert all(got[i] == (None, "none", None) for i, _, _ in prose)
+
+
 def _cosine(text, template, n, df):
     weight = lambda c: {t: k * ((math.log((1 + n) / (1 + df.get(t, 0))) if t in df else math.log(1 + n)) + 1) for t, k in c.items()}
     x, y = weight(licences.template_words(text)), weight(licences.template_words(template))
