@@ -6,9 +6,10 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from spanledger.llm import bag_minhash, byte_bpe, language, licences, main_text, neighbours, positional_index, quality, sharding, warc
+from spanledger.llm import bag_minhash, byte_bpe, language, licences, main_text, neighbours, packing, positional_index, quality, sharding, warc
 
 RANKS = "byte_bpe_multi_50k.tiktoken"
+WORD_MODEL = "word_bpe_49k.json"
 SHARDS = 24
 
 
@@ -113,6 +114,11 @@ def op10_warc_derivatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.derivatives(warc.responses_of(pages)).drop("record").withColumnRenamed("key", "page_id")
 
 
+def op13_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every piece of every document, and its place in sequences of 4,096 ids."""
+    return packing.pack(documents(spark, sf_dir), public_tokenizers.path(WORD_MODEL), with_ids=False)
+
+
 QUERIES = {
     "op1_licence_scan": op1_licence_scan,
     "op2_positional_index": op2_positional_index,
@@ -124,5 +130,6 @@ QUERIES = {
     "op8_nn_descent": op8_nn_descent,
     "op9_cross_parsing": op9_cross_parsing,
     "op10_warc_derivatives": op10_warc_derivatives,
+    "op13_best_fit_packing": op13_best_fit_packing,
 }
 ORACLES: dict[str, str] = {"op2_positional_index": OP2_SQL}
