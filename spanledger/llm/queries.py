@@ -6,7 +6,8 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from spanledger.llm import bag_minhash, byte_bpe, language, licences, main_text, neighbours, packing, positional_index, quality, sharding, warc
+from spanledger.llm import bag_minhash, byte_bpe, language, licences, main_text, neighbours, packing, positional_index, quality, runs, sharding, warc
+from spanledger.llm.columns import let
 
 RANKS = "byte_bpe_multi_50k.tiktoken"
 WORD_MODEL = "word_bpe_49k.json"
@@ -114,6 +115,46 @@ def op10_warc_derivatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.derivatives(warc.responses_of(pages)).drop("record").withColumnRenamed("key", "page_id")
 
 
+def periodic_tail(doc_id: Column, text: Column) -> Column:
+    """The text, or for one of ten ids its words with a tail that repeats a block: from word a on, the p words there over and over.
+
+    A NULL id leaves the text as it is.
+    """
+    crc = F.crc32(doc_id.cast("string").cast("binary"))
+    g = F.floor(crc / F.lit(10))
+    given = F.filter(F.split(text, r"[\x20\x09-\x0D]+"), lambda w: w != "")
+
+    def repeat(w: Column) -> Column:
+        n = F.size(w)
+        a = (g % n).cast("int")
+        p = (1 + F.floor((n - a) / (3 + g % 8))).cast("int")
+        return let(a, lambda a: let(p, lambda p: F.concat(F.slice(w, 1, a), F.transform(F.slice(w, a + 1, n), lambda _, i: F.get(w, a + i % p)))))
+
+    tail = let(given, lambda w: F.when(F.size(w) > 0, F.array_join(repeat(w), " ")).otherwise(""))
+    return F.when(crc % 10 == 0, tail).otherwise(text)
+
+
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Number, longest and digests of the runs of repeated words in every document, one of ten with a periodic tail."""
+    docs = documents(spark, sf_dir)
+    found = runs.find(docs.select("doc_id", periodic_tail(F.col("doc_id"), F.col("text")).alias("text")))
+    longest = F.array_max(F.transform("runs", lambda r: F.struct(r["length"], -r["start"], -r["period"])))
+    lines = F.transform("runs", lambda r: F.concat(r["start"], F.lit(","), r["length"], F.lit(","), r["period"], F.lit("\n")))
+    best = found.select("*", longest.alias("best"))
+    length, period = F.col("best.length"), -F.col("best.col3")
+    return best.select(
+        "doc_id",
+        F.size("runs").cast("bigint").alias("n_runs"),
+        (-F.col("best.col2")).alias("start"),
+        length.alias("length"),
+        period.alias("period"),
+        F.floor(1000 * length / period).cast("bigint").alias("exponent_milli"),
+        F.sha2(F.array_join(lines, "").cast("binary"), 256).alias("runs_sha256"),
+        F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"),
+        "n_words",
+    )
+
+
 def op13_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every piece of every document, and its place in sequences of 4,096 ids."""
     return packing.pack(documents(spark, sf_dir), public_tokenizers.path(WORD_MODEL), with_ids=False)
@@ -130,6 +171,7 @@ QUERIES = {
     "op8_nn_descent": op8_nn_descent,
     "op9_cross_parsing": op9_cross_parsing,
     "op10_warc_derivatives": op10_warc_derivatives,
+    "op12_periodic_runs": op12_periodic_runs,
     "op13_best_fit_packing": op13_best_fit_packing,
 }
 ORACLES: dict[str, str] = {"op2_positional_index": OP2_SQL}
