@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from spanledger.llm import bag_minhash, byte_bpe, language, licences, main_text, neighbours, packing, positional_index, quality, runs, sharding, warc
+from spanledger.llm import bag_minhash, byte_bpe, conversations, language, licences, main_text, neighbours, packing, positional_index, quality, runs, sharding, warc
 from spanledger.llm.columns import let
 
 RANKS = "byte_bpe_multi_50k.tiktoken"
@@ -115,6 +115,27 @@ def op10_warc_derivatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.derivatives(warc.responses_of(pages)).drop("record").withColumnRenamed("key", "page_id")
 
 
+def damaged(rows: DataFrame) -> DataFrame:
+    """Conversation rows with faults by the CRC-32 of id and turn; NULLs are read as one space."""
+    code = F.crc32(F.concat_ws(":", *(F.coalesce(F.col(c).cast("string"), F.lit(" ")) for c in ("conv_id", "turn"))).cast("binary")) % 20
+    text, role = (F.coalesce(F.col(c), F.lit(" ")) for c in ("text", "role"))
+    faulty = rows.where(code != 0).select(
+        "conv_id",
+        "turn",
+        F.when(code == 4, "user").otherwise(role).alias("role"),
+        F.when(code == 1, "").when(code == 2, F.regexp_replace(text, "[.!?]", "")).otherwise(text).alias("text"),
+        F.explode(F.array_repeat(F.lit(0), F.when(code == 3, 2).otherwise(1))).alias("copy"),
+    )
+    return faulty.drop("copy")
+
+
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Faults, least cost, audit and digest of every conversation, after damage."""
+    rows = spark.read.parquet(f"{sf_dir}/conversations.parquet")
+    counts, blocks = conversations.repair(damaged(rows))
+    return conversations.with_every_key(rows, counts, conversations.digests(blocks))
+
+
 def periodic_tail(doc_id: Column, text: Column) -> Column:
     """The text, or for one of ten ids its words with a tail that repeats a block: from word a on, the p words there over and over.
 
@@ -171,6 +192,7 @@ QUERIES = {
     "op8_nn_descent": op8_nn_descent,
     "op9_cross_parsing": op9_cross_parsing,
     "op10_warc_derivatives": op10_warc_derivatives,
+    "op11_conversation_repair": op11_conversation_repair,
     "op12_periodic_runs": op12_periodic_runs,
     "op13_best_fit_packing": op13_best_fit_packing,
 }
