@@ -47,6 +47,7 @@ from spanledger.llm.batches import map_batches
 from spanledger.session import stored
 
 CAPACITY, END_ID, NODES, CHOICES = 4096, 1, 200_000, 64
+KNOWN = 200_000
 _TOGETHER = 400  # words in a line
 _NUMBERS = np.int64(1) << 40  # more pieces of one length than there can be
 
@@ -68,8 +69,25 @@ def _tokenizer(path: str):
     return tokenizer, ends
 
 
+@cache
+def _known(path: str) -> dict[str, np.ndarray]:
+    """Words whose ids a worker has found already, at most ``KNOWN`` of them."""
+    return {}
+
+
 def _ids_of(distinct: list[str], path: str) -> tuple[np.ndarray, np.ndarray]:
-    """The ids of words one after the other, and how many each has.
+    """The ids of words one after the other, and how many each has."""
+    known = _known(path)
+    if len(known) > KNOWN:
+        known.clear()
+    new = [w for w in distinct if w not in known]
+    known.update(zip(new, _encoded(new, path), strict=True))
+    ids = [known[w] for w in distinct]
+    return np.concatenate([*ids, np.zeros(0, np.int32)]), np.fromiter(map(len, ids), np.int64, len(ids))
+
+
+def _encoded(distinct: list[str], path: str) -> list[np.ndarray]:
+    """The ids of each word.
 
     Words of letters alone are encoded together, many to a line: each gives ids of which only the last ends a word.
     Where a line shows another number of such ends, its words are encoded one by one, like all other words.
@@ -82,12 +100,12 @@ def _ids_of(distinct: list[str], path: str) -> tuple[np.ndarray, np.ndarray]:
         found = np.array(coded.ids, np.int32)
         last = np.flatnonzero(ends[found]) + 1
         if len(last) == len(line) and last[-1] == len(found):
-            for i, part in zip(line, np.split(found, last[:-1]), strict=True):
-                ids[i] = part
+            for i, a, b in zip(line, [0, *last.tolist()], last.tolist(), strict=False):
+                ids[i] = found[a:b].copy()
     rest = [i for i, x in enumerate(ids) if x is None]
     for i, coded in zip(rest, tokenizer.encode_batch_fast([distinct[i] for i in rest], add_special_tokens=False), strict=True):
         ids[i] = np.array(coded.ids, np.int32)
-    return np.concatenate([*ids, np.zeros(0, np.int32)]), np.fromiter(map(len, ids), np.int64, len(ids))
+    return ids
 
 
 def encode_column(texts: pa.Array, path: str) -> tuple[np.ndarray, np.ndarray]:
