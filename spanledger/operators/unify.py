@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from spanledger import constants as C
+from spanledger.functions.exact import exact_sum, whole_number
 from spanledger.functions.numbers import rescale_amount, usd_value
 from spanledger.operators.staging import tokens_by_chain_id
 
@@ -159,8 +160,8 @@ def expand_refunds(unified: DataFrame, hourly: DataFrame) -> DataFrame:
 
     Entries without a partner (lists of different length) and blanks drop out.
     The explode happens inside each task, without a shuffle. The raw amount is
-    a DOUBLE; ``refund_amount_exact`` holds all its digits up to 38 of them,
-    so that payouts sum to their batch, and is NULL beyond.
+    a DOUBLE; ``refund_amount_exact`` holds all digits of a whole number as
+    text, for ``exact_totals``; it is NULL only where the amount is none.
     """
     pairs = F.arrays_zip(
         F.split("refund_amounts_string", ",").alias("amount"), F.split("refund_addresses_string", ",").alias("address")
@@ -194,7 +195,7 @@ def expand_refunds(unified: DataFrame, hourly: DataFrame) -> DataFrame:
         "refund_token_symbol",
         amount.alias("refund_amount"),
         "refund_amount_raw",
-        F.col("amount_text").try_cast("decimal(38,0)").alias("refund_amount_exact"),
+        whole_number(F.col("amount_text")).alias("refund_amount_exact"),
         "refund_token_price_usd",
         usd_value(amount, F.col("refund_token_price_usd"), C.DEFAULT_TOKEN_PRICE).alias("refund_amount_usd"),
         F.col("total_refund_amount").alias("batch_total_amount"),
@@ -204,3 +205,11 @@ def expand_refunds(unified: DataFrame, hourly: DataFrame) -> DataFrame:
             F.col("transaction_hash"), F.lit("-"), F.col("leaf_id").cast("string"), F.lit("-"), F.col("refund_index").cast("string")
         ).alias("refund_id"),
     )
+
+
+def exact_totals(expanded: DataFrame, by: list[str]) -> DataFrame:
+    """Payouts of each group with their raw sum in all digits, and how many amounts are no whole number and not in the sum."""
+    amount = F.col("refund_amount_exact")
+    return expanded.groupBy(*by).agg(
+        F.count("*").alias("payouts"), exact_sum(amount).alias("total_raw"), F.count_if(amount.isNull()).alias("not_whole")
+    )

@@ -17,7 +17,7 @@ from spanledger import constants as C
 from spanledger.functions import hexcodec as H
 from spanledger.functions.numbers import percent_of, round_half_up
 from spanledger.functions.times import text_to_timestamp
-from spanledger.operators import ingest, marts, quality
+from spanledger.operators import ingest, marts, quality, unify
 from spanledger.operators import decode as D
 from spanledger.operators.percentiles import grouped_median
 from spanledger.plans import oracles as O
@@ -113,13 +113,25 @@ _register_model("deposit_fill_matching", O._model("deposit_fill_matching"))
 
 
 @query(
-    """SELECT u.transaction_hash, count(*)::BIGINT AS payouts, CAST(sum(l.raw) AS VARCHAR) AS total_raw FROM unified_refunds u
-    JOIN rl2 l ON u.transaction_hash = printf('0xe%063x', l.k) GROUP BY u.transaction_hash"""
+    """SELECT u.transaction_hash, count(*)::BIGINT AS payouts, CAST(sum(l.raw) AS VARCHAR) AS total_raw, 0::BIGINT AS not_whole
+    FROM unified_refunds u JOIN rl2 l ON u.transaction_hash = printf('0xe%063x', l.k) GROUP BY u.transaction_hash"""
 )
 def refund_payouts_exact(spark, sf_dir):
     """The payouts of each refund batch and their exact sum, in all digits."""
-    payouts = bridge(spark, sf_dir).refunds_expanded.groupBy("transaction_hash")
-    return payouts.agg(F.count("*").alias("payouts"), F.sum("refund_amount_exact").cast("string").alias("total_raw"))
+    return unify.exact_totals(bridge(spark, sf_dir).refunds_expanded, ["transaction_hash"])
+
+
+@query(
+    f"""SELECT {O.addr('l.sk')} AS relayer_address, u.refund_token_symbol, count(*)::BIGINT AS payouts,
+      CAST(sum(CAST(concat(l.raw::VARCHAR, repeat('9', 54)) AS BIGNUM)) AS VARCHAR) AS total_raw, 0::BIGINT AS not_whole
+    FROM unified_refunds u JOIN rl2 l ON u.transaction_hash = printf('0xe%063x', l.k) GROUP BY ALL"""
+)
+def relayer_payouts_exact(spark, sf_dir):
+    """Exact sums per relayer and token of payouts with up to 78 digits: each amount has 54 nines after it."""
+    b = bridge(spark, sf_dir)
+    wide = F.transform(F.split("refund_amounts_string", ","), lambda x: F.concat(x, F.lit("9" * 54)))
+    b.unified_refunds = b.unified_refunds.withColumn("refund_amounts_string", F.array_join(wide, ","))
+    return unify.exact_totals(b.refunds_expanded, ["relayer_address", "refund_token_symbol"])
 
 
 def _register_mart(name: str, model: str, oracle: str, columns: list[str]) -> None:
