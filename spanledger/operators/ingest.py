@@ -10,6 +10,7 @@ from spanledger.functions.hexcodec import hex_to_bigint
 from spanledger.session import stored
 
 LOG_KEY = ("transactionHash", "logIndex")
+KEYS = ["key_hash", "key_tx", "key_index"]
 
 
 def _filled(name: str) -> Column:
@@ -46,17 +47,11 @@ def receipt_gas(receipts: DataFrame) -> DataFrame:
     return gas.filter(F.col("transactionHash").isNotNull()).withColumn("n", best).filter(F.col("n") == 1).drop("n")
 
 
-def enrich_with_gas(logs: DataFrame, receipts: DataFrame) -> DataFrame:
-    """Gas fields from the receipt where there is one; other logs stay as they are.
-
-    Receipts are reduced per transaction and stored, so a log never multiplies
-    and the join has a plain input on both sides: the adaptive planner splits
-    a transaction with very many logs, which it does not where an aggregate
-    lies between the shuffle and the join.
-    """
+def join_gas(logs: DataFrame, gas: DataFrame) -> DataFrame:
+    """Gas fields of ``receipt_gas`` where a transaction has them; other logs stay as they are."""
     others = [c for c in logs.columns if c not in ("transactionHash", "gasUsed", "gasPrice")]
     found = F.col("has_receipt").isNotNull()
-    joined = logs.join(stored(receipt_gas(receipts)).withColumn("has_receipt", F.lit(True)), "transactionHash", "left")
+    joined = logs.join(gas.withColumn("has_receipt", F.lit(True)), "transactionHash", "left")
     return joined.select(
         "transactionHash",
         *others,
@@ -65,8 +60,32 @@ def enrich_with_gas(logs: DataFrame, receipts: DataFrame) -> DataFrame:
     )
 
 
-def _log_key() -> Column:
-    return F.struct(*[F.coalesce(n, F.lit("")).alias(n) for n in LOG_KEY])
+def enrich_with_gas(logs: DataFrame, receipts: DataFrame) -> DataFrame:
+    """Gas fields from the receipt where there is one; other logs stay as they are.
+
+    Receipts are reduced per transaction and stored, so a log never multiplies
+    and the join has a plain input on both sides: the adaptive planner splits
+    a transaction with very many logs, which it does not where an aggregate
+    lies between the shuffle and the join.
+    """
+    return join_gas(logs, stored(receipt_gas(receipts)))
+
+
+def with_log_key(logs: DataFrame) -> DataFrame:
+    """Adds the key of a log, NULL parts as empty text, and before it a hash of the key.
+
+    Sorts compare the hash first: hashes of transactions begin alike, and a
+    sort by them alone compares whole texts.
+    """
+    tx, index = (F.coalesce(F.col(n), F.lit("")) for n in LOG_KEY)
+    return logs.withColumns({"key_hash": F.xxhash64(tx, index), "key_tx": tx, "key_index": index})
+
+
+def _first_copies(keyed: DataFrame, order_by: str) -> DataFrame:
+    others = sorted(c for c in keyed.columns if c not in KEYS)
+    order = [F.asc_nulls_last(hex_to_bigint(F.col(order_by))), *[F.col(c) for c in others]]
+    ranked = keyed.withColumn("copy", F.row_number().over(W.partitionBy(*KEYS).orderBy(*order)))
+    return ranked.filter(F.col("copy") == 1).drop("copy")
 
 
 def unique_logs(logs: DataFrame, order_by: str = "blockNumber") -> DataFrame:
@@ -75,21 +94,30 @@ def unique_logs(logs: DataFrame, order_by: str = "blockNumber") -> DataFrame:
     The rank limit is applied before the shuffle too, so many copies of one
     log do not meet in one task.
     """
-    order = [F.asc_nulls_last(hex_to_bigint(F.col(order_by))), *[F.col(c) for c in sorted(logs.columns)]]
-    ranked = logs.withColumn("copy", F.row_number().over(W.partitionBy(_log_key()).orderBy(*order)))
-    return ranked.filter(F.col("copy") == 1).drop("copy")
+    return _first_copies(with_log_key(logs), order_by).drop(*KEYS)
+
+
+def new_logs(existing: DataFrame, incoming: DataFrame, order_by: str = "blockNumber") -> DataFrame:
+    """Incoming logs whose (transaction, index) is not stored, once each, with their key.
+
+    ``existing`` may hold the key columns already. The rank and the join use
+    the same columns, so the incoming logs move once, and stored logs that lie
+    bucketed by the key do not move at all.
+    """
+    known = existing if set(KEYS) <= set(existing.columns) else with_log_key(existing.select(*LOG_KEY))
+    first = _first_copies(with_log_key(incoming), order_by)
+    return first.join(known.select(*KEYS), KEYS, "left_anti").select(*first.columns)
 
 
 def append_new_logs(existing: DataFrame, incoming: DataFrame, order_by: str = "blockNumber") -> DataFrame:
     """Incoming logs whose (transaction, index) is not stored, once each."""
-    known = existing.select(_log_key().alias("k"))
-    return unique_logs(incoming, order_by).withColumn("k", _log_key()).join(known, "k", "left_anti").drop("k")
+    return new_logs(existing, incoming, order_by).drop(*KEYS)
 
 
 def prepare_logs(logs: DataFrame, receipts: DataFrame | None = None) -> DataFrame:
-    """Raw logs of all providers as decoding expects them: one shape, gas from the receipts, each log once."""
-    one_shape = harmonise_sources(logs)
-    return unique_logs(one_shape if receipts is None else enrich_with_gas(one_shape, receipts))
+    """Raw logs of all providers as decoding expects them: one shape, each log once, gas from the receipts."""
+    once = unique_logs(harmonise_sources(logs))
+    return once if receipts is None else enrich_with_gas(once, receipts)
 
 
 def run_summary(logs: DataFrame) -> DataFrame:

@@ -86,9 +86,9 @@ CTES = {
     "hp": "SELECT sym, date_trunc('hour', ts) AS h, CAST(sum(CAST(round(value * 100) AS BIGINT)) AS DOUBLE) / 100 / count(*) AS price "
     "FROM pr GROUP BY ALL",
     "landed": f"""
-        SELECT 'd' AS ev, dhash AS tx, {ts('dep')} AS t, oname AS chain, 30000000000 AS gp, cust + 50000 AS gu, k FROM o
-        UNION ALL SELECT 'f', fhash, {ts('fep')}, dname, gp, gu, k FROM f
-        UNION ALL SELECT 'r', rhash, {ts('dep + 86400')}, rname, 1000000000, 90000, k FROM r""",
+        SELECT 'd' AS ev, dhash AS tx, {ts('dep')} AS t, oname AS chain, 30000000000 AS gp, cust + 50000 AS gu, k, 1 AS ln FROM o
+        UNION ALL SELECT 'f', fhash, {ts('fep')}, dname, gp, gu, k, ln FROM f
+        UNION ALL SELECT 'r', rhash, {ts('dep + 86400')}, rname, 1000000000, 90000, k, 1 FROM r""",
     "stage_deposits": f"""SELECT {ts('dep')} AS deposit_timestamp, dhash AS transaction_hash, oname AS blockchain,
         {file_of('oname')} AS source_file, did AS destination_chain_id, k AS deposit_id, {addr('cust')} AS depositor_address,
         {token('oid')} AS input_token_address, sym AS input_token_symbol,

@@ -26,7 +26,7 @@ from spanledger.plans import stored
 from spanledger.plans.pipeline import Bridge
 from spanledger.schemas import LINEAGE
 from spanledger.session import configure, shared_folder
-from spanledger.sources import chains, landing, logs, prices
+from spanledger.sources import chains, keyed, landing, logs, prices
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -506,38 +506,54 @@ def chain_config_rows(spark, sf_dir):
 # ---- ingest ------------------------------------------------------------------
 
 
-def receipts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A receipt per fill that has gas; returned lines lack the effective price."""
-    base = S.fill_base(spark, sf_dir).filter(F.col("gas_price").isNotNull())
-    returned = F.col("l_returnflag") == "R"
-    return base.select(
-        S._fill_hash().alias("transactionHash"),
-        S._quantity(F.col("gas_used")).alias("gasUsed"),
-        F.when(returned, F.lit("")).otherwise(S._quantity(F.col("gas_price"))).alias("effectiveGasPrice"),
-        S._quantity(F.col("gas_price") + F.when(returned, 0).otherwise(1)).alias("gasPrice"),
-        F.lit("0x1").alias("status"),
-    )
+receipts = S.receipts
 
 
 @query(
-    """SELECT fhash AS "transactionHash", printf('0x%x', ln::BIGINT) AS "logIndex", CASE WHEN gas THEN printf('0x%x', gu) ELSE '0x7' END AS "gasUsed",
-      CASE WHEN gas THEN printf('0x%x', gp) ELSE '' END AS "gasPrice" FROM f"""
+    """SELECT tx AS "transactionHash", printf('0x%x', ln::BIGINT) AS "logIndex",
+      CASE WHEN ev = 'f' AND gp IS NOT NULL THEN printf('0x%x', gu) ELSE '0x7' END AS "gasUsed",
+      CASE WHEN ev = 'f' AND gp IS NOT NULL THEN printf('0x%x', gp) ELSE '' END AS "gasPrice" FROM landed"""
 )
 def gas_enrichment(spark, sf_dir):
-    """Gas fields joined from receipts; logs without one keep what they had."""
-    bare = S.raw_fills(spark, sf_dir).withColumns({"gasPrice": F.lit(""), "gasUsed": F.lit("0x7")})
+    """Gas fields of all logs joined from the receipts of the fills; logs without one keep what they had."""
+    bare = stored.raw_logs(spark, sf_dir).withColumns({"gasPrice": F.lit(""), "gasUsed": F.lit("0x7")})
     return ingest.enrich_with_gas(bare, receipts(spark, sf_dir)).select("transactionHash", "logIndex", "gasUsed", "gasPrice")
 
 
-@query("""SELECT fhash AS "transactionHash", printf('0x%x', ln::BIGINT) AS "logIndex", printf('0x%x', fep // 12) AS "blockNumber"
-       FROM f WHERE rf <> 'A' AND fhash NOT IN (SELECT fhash FROM f WHERE rf = 'A')""")
+@query(
+    """SELECT tx AS "transactionHash", printf('0x%x', ln::BIGINT) AS "logIndex",
+      CASE WHEN ev = 'f' AND gp IS NOT NULL THEN printf('0x%x', gu) ELSE '0x7' END AS "gasUsed",
+      CASE WHEN ev = 'f' AND gp IS NOT NULL THEN printf('0x%x', gp) ELSE '' END AS "gasPrice" FROM landed"""
+)
+def stored_gas_enrichment(spark, sf_dir):
+    """The same from a receipt table that lies bucketed by transaction."""
+    bare = stored.raw_logs(spark, sf_dir).withColumns({"gasPrice": F.lit(""), "gasUsed": F.lit("0x7")})
+    return stored.receipt_store(spark, sf_dir).enrich(bare).select("transactionHash", "logIndex", "gasUsed", "gasPrice")
+
+
+_NEW = """SELECT tx AS "transactionHash", printf('0x%x', ln::BIGINT) AS "logIndex", printf('0x%x', epoch(t)::BIGINT // 12) AS "blockNumber"
+       FROM landed"""
+
+
+@query(f"{_NEW} WHERE t >= TIMESTAMP '{stored.FIRST_LOAD_END}'")
 def append_dedup(spark, sf_dir):
-    """New logs of a batch that holds stored logs again and some logs twice."""
-    flagged = S.fill_base(spark, sf_dir).select(S._fill_hash().alias("transactionHash"), F.col("l_returnflag").alias("flag"))
-    fills = S.raw_fills(spark, sf_dir)
-    stored = fills.join(flagged.filter("flag = 'A'"), "transactionHash", "left_semi")
-    again = fills.join(flagged.filter("flag = 'N'"), "transactionHash", "left_semi")
-    return ingest.append_new_logs(stored, fills.unionByName(again)).select("transactionHash", "logIndex", "blockNumber")
+    """New logs of a batch that holds the stored logs of the first half month again, and its refunds twice."""
+    raw = stored.raw_logs(spark, sf_dir)
+    batch = raw.unionByName(raw.filter(F.get("topics", F.lit(0)) == C.EXECUTED_REFUND))
+    return stored.log_store(spark, sf_dir).unseen(batch).select("transactionHash", "logIndex", "blockNumber")
+
+
+@query(f"SELECT chain AS blockchain, count(*)::BIGINT AS logs, count(DISTINCT tx)::BIGINT AS transactions, count(gp)::BIGINT AS with_gas FROM landed GROUP BY chain")
+def append_twice_to_store(spark, sf_dir):
+    """A keyed log table after the first load, the whole batch, and the whole batch again: each log once."""
+    raw, folder = stored.raw_logs(spark, sf_dir), shared_folder(spark)
+    store = keyed.LogStore(spark, stored.table_name(folder), f"{folder}/logs", raw)
+    store.append(raw.filter(stored.first_load()))
+    store.append(raw)
+    store.append(raw.unionByName(raw))
+    return store.rows().groupBy("blockchain").agg(
+        F.count("*").alias("logs"), F.count_distinct("transactionHash").alias("transactions"), F.count("gasPrice").alias("with_gas")
+    )
 
 
 @query(
@@ -555,10 +571,16 @@ def harmonise_sources(spark, sf_dir):
     )
 
 
-@query("""SELECT fhash AS "transactionHash" FROM f WHERE NOT gas GROUP BY fhash""")
+@query("""SELECT DISTINCT tx AS "transactionHash" FROM landed WHERE ev <> 'f' OR gp IS NULL""")
 def pending_receipts(spark, sf_dir):
-    """Transactions of fill logs still without a receipt."""
-    return ingest.pending_receipts(S.raw_fills(spark, sf_dir), receipts(spark, sf_dir))
+    """Transactions of logs still without a receipt."""
+    return ingest.pending_receipts(stored.raw_logs(spark, sf_dir), receipts(spark, sf_dir))
+
+
+@query("""SELECT DISTINCT tx AS "transactionHash" FROM landed WHERE ev <> 'f' OR gp IS NULL""")
+def stored_pending_receipts(spark, sf_dir):
+    """The same against a receipt table that lies bucketed by transaction."""
+    return stored.receipt_store(spark, sf_dir).pending(stored.raw_logs(spark, sf_dir))
 
 
 @query(

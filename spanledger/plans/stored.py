@@ -6,13 +6,20 @@ the same start: raw logs as JSON lines, decoded logs as the landing table.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import hashlib
 
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from spanledger.functions.hexcodec import hex_to_bigint
 from spanledger.plans import star_input as S
 from spanledger.plans.pipeline import Bridge
 from spanledger.schemas import LINEAGE, RAW_LOG
 from spanledger.session import shared_folder
-from spanledger.sources import landing, logs
+from spanledger.sources import keyed, landing, logs
+
+#: Logs before this moment are the first of two loads.
+FIRST_LOAD_END = "2024-01-16"
 
 _WRITTEN: dict[tuple[str, str, str], str] = {}
 
@@ -56,3 +63,32 @@ def raw_logs(spark: SparkSession, sf_dir: str) -> DataFrame:
 def landed_logs(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = _once(spark, sf_dir, "landed", lambda p: landing.refresh_landing(S.landed_logs(spark, sf_dir), p))
     return landing.read_landing(spark, path).drop("loaded_at")
+
+
+def table_name(path: str) -> str:
+    """A catalog name for the table at a path."""
+    return f"spanledger_{hashlib.md5(path.encode()).hexdigest()[:16]}"
+
+
+def first_load() -> Column:
+    """Whether a raw log belongs to the first of two loads."""
+    return F.timestamp_seconds(hex_to_bigint(F.col("timeStamp"))) < F.lit(FIRST_LOAD_END).cast("timestamp")
+
+
+def log_store(spark: SparkSession, sf_dir: str) -> keyed.LogStore:
+    """The raw logs of the first load, bucketed by key."""
+    raw = raw_logs(spark, sf_dir)
+
+    def at(path: str) -> keyed.LogStore:
+        return keyed.LogStore(spark, table_name(path), path, raw)
+
+    return at(_once(spark, sf_dir, "keyed_logs", lambda path: at(path).append(raw.filter(first_load()))))
+
+
+def receipt_store(spark: SparkSession, sf_dir: str) -> keyed.ReceiptStore:
+    """The receipts of all fills with gas, bucketed by transaction."""
+
+    def at(path: str) -> keyed.ReceiptStore:
+        return keyed.ReceiptStore(spark, table_name(path), path)
+
+    return at(_once(spark, sf_dir, "keyed_receipts", lambda path: at(path).append(S.receipts(spark, sf_dir))))
