@@ -47,7 +47,6 @@ from spanledger.llm.batches import map_batches
 from spanledger.session import stored
 
 CAPACITY, END_ID, NODES, CHOICES = 4096, 1, 200_000, 64
-KNOWN = 200_000
 _TOGETHER = 400  # words in a line
 _NUMBERS = np.int64(1) << 40  # more pieces of one length than there can be
 
@@ -57,55 +56,63 @@ Filling = tuple[tuple[tuple[int, int], ...], int]
 
 @cache
 def _tokenizer(path: str):
-    """The tokenizer (special strings in a text are ordinary text), and whether each id ends a word."""
+    """The tokenizer (special strings in a text are ordinary text), the same without its steps before the merges, and whether each
+    id ends a word."""
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
-    from tokenizers import Tokenizer
+    from tokenizers import Tokenizer, pre_tokenizers
 
-    tokenizer = Tokenizer.from_file(path)
-    tokenizer.encode_special_tokens = True
+    tokenizer, merges = Tokenizer.from_file(path), Tokenizer.from_file(path)
+    tokenizer.encode_special_tokens = merges.encode_special_tokens = True
+    if tokenizer.normalizer.normalize_str("A") != "a":
+        raise ValueError("the tokenizer must read text in lower case")
+    merges.normalizer, merges.pre_tokenizer = None, pre_tokenizers.WhitespaceSplit()
     ends = np.zeros(tokenizer.get_vocab_size(), bool)
     for token, i in tokenizer.get_vocab().items():
         ends[i] = token.endswith("</w>")
-    return tokenizer, ends
+    return tokenizer, merges, ends
 
 
-@cache
-def _known(path: str) -> dict[str, np.ndarray]:
-    """Words whose ids a worker has found already, at most ``KNOWN`` of them."""
-    return {}
+def _flat(coded: list) -> tuple[np.ndarray, np.ndarray]:
+    """All ids of encodings one after the other, and how many each has."""
+    arrays = [np.array(e.ids, np.int32) for e in coded]
+    return np.concatenate([*arrays, np.zeros(0, np.int32)]), np.fromiter(map(len, arrays), np.int64, len(arrays))
+
 
+def _together(word: list[str], which: np.ndarray, tokenizer, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Words of letters alone, many to a line: the ids, which words they are of, and where those of each begin and end.
 
-def _ids_of(distinct: list[str], path: str) -> tuple[np.ndarray, np.ndarray]:
-    """The ids of words one after the other, and how many each has."""
-    known = _known(path)
-    if len(known) > KNOWN:
-        known.clear()
-    new = [w for w in distinct if w not in known]
-    known.update(zip(new, _encoded(new, path), strict=True))
-    ids = [known[w] for w in distinct]
-    return np.concatenate([*ids, np.zeros(0, np.int32)]), np.fromiter(map(len, ids), np.int64, len(ids))
+    Each such word gives ids of which only the last ends a word; a line with another number of such ends is left out.
+    """
+    lines = [which[k : k + _TOGETHER] for k in range(0, len(which), _TOGETHER)]
+    ids, sizes = _flat(tokenizer.encode_batch_fast([" ".join([word[i] for i in x.tolist()]) for x in lines], add_special_tokens=False))
+    last, at = np.concatenate([[0], ends[ids].cumsum()]), np.concatenate([[0], sizes.cumsum()]).astype(np.int64)
+    good = np.diff(last[at]) == np.fromiter(map(len, lines), np.int64, len(lines))
+    ids = ids[np.repeat(good, sizes)]
+    close = np.flatnonzero(ends[ids]) + 1
+    kept = np.concatenate([*[x for x, ok in zip(lines, good, strict=True) if ok], np.zeros(0, np.int64)]).astype(np.int64)
+    return ids, kept, np.concatenate([[0], close])[:-1].astype(np.int64), close
 
 
-def _encoded(distinct: list[str], path: str) -> list[np.ndarray]:
-    """The ids of each word.
+def _ids_of(distinct: pa.Array, path: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Ids, and where those of each word begin among them and how many they are.
 
-    Words of letters alone are encoded together, many to a line: each gives ids of which only the last ends a word.
-    Where a line shows another number of such ends, its words are encoded one by one, like all other words.
+    Words of ASCII letters need the merges alone, other words of letters the whole tokenizer; all else is encoded word by word.
     """
-    tokenizer, ends = _tokenizer(path)
-    ids: list[np.ndarray | None] = [None] * len(distinct)
-    plain = [i for i, w in enumerate(distinct) if w.isalpha()]
-    lines = [plain[k : k + _TOGETHER] for k in range(0, len(plain), _TOGETHER)]
-    for line, coded in zip(lines, tokenizer.encode_batch_fast([" ".join(distinct[i] for i in x) for x in lines], add_special_tokens=False), strict=True):
-        found = np.array(coded.ids, np.int32)
-        last = np.flatnonzero(ends[found]) + 1
-        if len(last) == len(line) and last[-1] == len(found):
-            for i, a, b in zip(line, [0, *last.tolist()], last.tolist(), strict=False):
-                ids[i] = found[a:b].copy()
-    rest = [i for i, x in enumerate(ids) if x is None]
-    for i, coded in zip(rest, tokenizer.encode_batch_fast([distinct[i] for i in rest], add_special_tokens=False), strict=True):
-        ids[i] = np.array(coded.ids, np.int32)
-    return ids
+    tokenizer, merges, ends = _tokenizer(path)
+    word = distinct.to_pylist()
+    letters = pc.utf8_is_alpha(distinct).to_numpy(zero_copy_only=False)
+    ascii_ = pc.string_is_ascii(distinct).to_numpy(zero_copy_only=False)
+    start, length, single = np.zeros(len(word), np.int64), np.zeros(len(word), np.int64), np.ones(len(word), bool)
+    found, held = [], 0
+    for which, model in ((letters & ascii_, merges), (letters & ~ascii_, tokenizer)):
+        ids, kept, begin, end = _together(word, np.flatnonzero(which), model, ends)
+        start[kept], length[kept], single[kept] = held + begin, end - begin, False
+        found.append(ids)
+        held += len(ids)
+    rest = np.flatnonzero(single)
+    ids, sizes = _flat(tokenizer.encode_batch_fast([word[i] for i in rest.tolist()], add_special_tokens=False))
+    start[rest], length[rest] = held + sizes.cumsum() - sizes, sizes
+    return np.concatenate([*found, ids]), start, length
 
 
 def encode_column(texts: pa.Array, path: str) -> tuple[np.ndarray, np.ndarray]:
@@ -114,12 +121,12 @@ def encode_column(texts: pa.Array, path: str) -> tuple[np.ndarray, np.ndarray]:
     No token of this kind of tokenizer goes across white space, nor across the other places where ``white.CLASSES`` cuts,
     so each distinct word of the batch is encoded once.
     """
-    cut, bounds = white.split(texts, white.CLASSES)
+    cut, bounds = white.split(pc.ascii_lower(texts), white.CLASSES)
     coded = cut.dictionary_encode()
-    flat, lengths = _ids_of(coded.dictionary.to_pylist(), path)
+    flat, start, length = _ids_of(coded.dictionary, path)
     at = coded.indices.to_numpy()
-    ends = np.concatenate([[0], lengths[at].cumsum()]).astype(np.int64)
-    return flat[white.spread((lengths.cumsum() - lengths)[at], lengths[at])], ends[bounds]
+    ends = np.concatenate([[0], length[at].cumsum()]).astype(np.int64)
+    return flat[white.spread(start[at], length[at])], ends[bounds]
 
 
 def pieces(df: DataFrame, path: str, key: str, text: str, capacity: int, end_id: int, with_ids: bool) -> DataFrame:
