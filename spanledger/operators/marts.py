@@ -270,8 +270,11 @@ def bridge_fee_analysis(match: DataFrame, chain_metadata: DataFrame, token_metad
     )
 
 
-def relayer_volume_by_route(match: DataFrame) -> DataFrame:
-    """USD filled per relayer and route."""
+RELAYER_ROUTE = ["origin_chain_name", "destination_chain_name", "route_name", "relayer_address"]
+
+
+def relayer_volume_by_route(match: DataFrame, *by: str) -> DataFrame:
+    """USD filled per relayer and route, and per further columns, such as the day."""
     return (
         match.filter(
             F.col("is_filled")
@@ -279,18 +282,22 @@ def relayer_volume_by_route(match: DataFrame) -> DataFrame:
             & F.col("route_name").isNotNull()
             & (F.col("fill_amount_usd") > 0)
         )
-        .groupBy("origin_chain_name", "destination_chain_name", "route_name", "relayer_address")
+        .groupBy(*by, *RELAYER_ROUTE)
         .agg(exact_sum(F.col("fill_amount_usd")).alias("relayer_volume_usd"))
     )
 
 
 def route_concentration_risk(match: DataFrame) -> DataFrame:
-    """Share of each route's volume held by its three largest relayers.
+    """Share of each route's volume held by its three largest relayers."""
+    return concentration_of(relayer_volume_by_route(match))
+
+
+def concentration_of(volumes: DataFrame) -> DataFrame:
+    """The same from the volumes of relayers and routes.
 
     Both branches read one row per relayer and route; the rank limit is
     applied before the shuffle, the totals are combined on the map side.
     """
-    volumes = relayer_volume_by_route(match)
     by_volume = W.partitionBy("route_name").orderBy(F.desc("relayer_volume_usd"), "relayer_address")
     top3 = (
         volumes.withColumn("rank_in_route", F.row_number().over(by_volume))

@@ -7,7 +7,7 @@ through hex or the operators' own code, so that the two sides are independent.
 from __future__ import annotations
 
 from spanledger import constants as C
-from spanledger.operators.quality import MODEL_RULES
+from spanledger.model_rules import LAYERS, MODEL_RULES
 from spanledger.plans.star_input import CHAINS, EPOCH, TOKENS, WINDOW
 
 IDS = "[" + ",".join(f"{i}::BIGINT" for _, i in CHAINS) + "]"
@@ -286,14 +286,49 @@ def model_rules(models: list[str]) -> str:
         rules = {f"not_null {c}": f"{c} IS NULL" for c in declared["not_null"]}
         rules |= {f"accepted_values {c}": f"{c} NOT IN {_sql_list(v)}" for c, v in declared.get("accepted", {}).items()}
         parts += [
-            f"SELECT '{model}' AS model, '{r}' AS rule, (count(*) FILTER (WHERE {c}))::BIGINT AS failures, "
-            f"count(*) FILTER (WHERE {c}) = 0 AS passed FROM {model}"
+            f"SELECT '{model}' AS model, '{r}' AS rule, 'error' AS severity, (count(*) FILTER (WHERE {c}))::BIGINT AS failures, "
+            f"count(*)::BIGINT AS checked, count(*) FILTER (WHERE {c}) = 0 AND count(*) > 0 AS passed FROM {model}"
             for r, c in rules.items()
         ]
         for unique in declared.get("unique", []):
             cols = ", ".join(unique)
             parts.append(
-                f"SELECT '{model}' AS model, 'unique {cols}' AS rule, count(*)::BIGINT AS failures, count(*) = 0 AS passed "
-                f"FROM (SELECT {cols} FROM {model} GROUP BY {cols} HAVING count(*) > 1)"
+                f"SELECT '{model}' AS model, 'unique {cols}' AS rule, 'error' AS severity, (count(*) FILTER (WHERE n > 1))::BIGINT AS failures, "
+                f"coalesce(sum(n), 0)::BIGINT AS checked, count(*) FILTER (WHERE n > 1) = 0 AND count(*) > 0 AS passed "
+                f"FROM (SELECT {cols}, count(*) AS n FROM {model} GROUP BY {cols})"
             )
     return "\nUNION ALL ".join(parts)
+
+
+def _chain_rules(layer: str, model: str, source: str, chain: str, columns: dict[str, str]) -> list[str]:
+    """The rules of a model for each chain; ``columns`` renames where the source has other names."""
+    declared = MODEL_RULES[model]
+    rules = {f"not_null {c}": f"{columns.get(c, c)} IS NULL" for c in declared["not_null"]}
+    rules |= {f"accepted_values {c}": f"{c} NOT IN {_sql_list(v)}" for c, v in declared.get("accepted", {}).items()}
+    head = f"SELECT '{layer}' AS layer, '{model}' AS model, {chain} AS chain, "
+    parts = []
+    for r, c in rules.items():
+        only = "('arbitrum')" if r == "not_null topic_0" else SUPPORTED_NAMES
+        parts.append(
+            f"{head}'{r}' AS rule, 'error' AS severity, (count(*) FILTER (WHERE {c}))::BIGINT AS failures, count(*)::BIGINT AS checked, "
+            f"count(*) FILTER (WHERE {c}) = 0 AS passed FROM {source} WHERE {chain} IN {only} GROUP BY {chain}"
+        )
+    for unique in declared.get("unique", []):
+        cols = ", ".join(unique)
+        parts.append(
+            f"{head}'unique {cols}' AS rule, 'error' AS severity, (count(*) FILTER (WHERE n > 1))::BIGINT AS failures, sum(n)::BIGINT AS checked, "
+            f"count(*) FILTER (WHERE n > 1) = 0 AS passed FROM (SELECT {cols}, count(*) AS n FROM {source} GROUP BY {cols}) "
+            f"WHERE {chain} IN {SUPPORTED_NAMES} GROUP BY {chain}"
+        )
+    return parts
+
+
+def declared_checks() -> str:
+    """A verdict for every declared check, for each chain of the source and staging layers."""
+    renamed = {"transactionHash": "tx", "timestamp_datetime": "t", "topic_0": "ev"}
+    parts = _chain_rules("source", "landed_logs", "landed", "chain", renamed)
+    for model in LAYERS["staging"]:
+        parts += _chain_rules("staging", model, model, "blockchain", {})
+    for layer in ("intermediate", "marts"):
+        parts.append(f"SELECT '{layer}' AS layer, model, NULL AS chain, rule, severity, failures, checked, passed FROM ({model_rules(LAYERS[layer])})")
+    return "\nUNION ALL ".join(parts)

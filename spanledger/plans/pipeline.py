@@ -3,13 +3,15 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
-from functools import cached_property
+from datetime import date
+from functools import cached_property, reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, StructField, StructType
 
-from spanledger.operators import marts, matching, staging, unify
+from spanledger.model_rules import MODEL_RULES
+from spanledger.operators import marts, matching, rules, staging, unify
 from spanledger.operators.decode import decode_logs
 from spanledger.operators.ingest import prepare_logs
 from spanledger.sources.landing import read_landing, refresh_landing
@@ -107,36 +109,47 @@ class Bridge:
     def route_concentration_risk(self) -> DataFrame:
         return marts.route_concentration_risk(self.deposit_fill_matching)
 
-    def write_match(self, path: str) -> None:
-        """The match as a table partitioned by deposit day.
+    def write_match(self, path: str, only_days: list[date] | None = None, observe: bool = False) -> rules.Observed | None:
+        """The match as a table partitioned by deposit day; with ``only_days``, these days of it and no other partition.
 
         The rebalance gathers a day into few files and lets the adaptive
         planner split a large day; ``over_match`` reads only the days asked for.
+        With ``observe`` the declared rules of the match are counted on the way.
         """
-        (
-            self.deposit_fill_matching.withColumn("deposit_date", F.to_date("deposit_timestamp"))
-            .hint("rebalance", "deposit_date")
-            .write.mode("overwrite")
-            .option("partitionOverwriteMode", "static")
-            .partitionBy("deposit_date")
-            .parquet(path)
-        )
-
-    def over_match(self, spark: SparkSession, path: str, days: tuple[str, str] | None = None) -> Bridge:
-        """The same models with the marts reading a stored match, of all days or from a first to a last one.
+        dated = self.deposit_fill_matching.withColumn("deposit_date", F.to_date("deposit_timestamp")).hint("rebalance", "deposit_date")
+        seen = rules.Observed(dated, "deposit_fill_matching") if observe else None
+        write_days(seen.rows if seen else dated, path, only_days)
+        return seen
+
+    def over_match(self, spark: SparkSession, path: str, days: tuple[str, str] | list[date] | None = None) -> Bridge:
+        """The same models with the marts reading a stored match: of all days, from a first to a last one, or of a list of days.
 
         A mart aggregates the match in several narrow passes; each is a scan of
         its own columns there, instead of the whole match computed again.
         """
         match = spark.read.schema(StructType([*self.deposit_fill_matching.schema, StructField("deposit_date", DateType())])).parquet(path)
-        if days is not None:
+        if isinstance(days, tuple):
             match = match.filter(F.col("deposit_date").between(*[F.lit(d).cast("date") for d in days]))
+        elif days is not None:
+            match = match.filter(F.col("deposit_date").isin(days))
         return Bridge(self.landed, self.chain_metadata, self.token_metadata, self.token_prices, match.drop("deposit_date"))
 
-    def store(self, spark: SparkSession, folder: str) -> Bridge:
-        """Write the match once, then the marts from it."""
-        self.write_match(f"{folder}/deposit_fill_matching")
-        stored = self.over_match(spark, f"{folder}/deposit_fill_matching")
+    def store(self, spark: SparkSession, folder: str) -> tuple[Bridge, DataFrame]:
+        """Write the match once, then the marts from it; also returns the report of their declared rules, counted while writing."""
+        path = f"{folder}/deposit_fill_matching"
+        seen = self.write_match(path, observe=True)
+        stored = self.over_match(spark, path)
+        reports = [seen.report(spark, stored.deposit_fill_matching)]
         for name in STORED[1:]:
-            getattr(stored, name).write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(f"{folder}/{name}")
-        return stored
+            mart = getattr(stored, name)
+            watched = rules.Observed(mart, name) if name in MODEL_RULES else None
+            (watched.rows if watched else mart).write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(f"{folder}/{name}")
+            if watched:
+                reports.append(watched.report(spark, spark.read.schema(mart.schema).parquet(f"{folder}/{name}")))
+        return stored, reduce(DataFrame.unionByName, reports)
+
+
+def write_days(df: DataFrame, path: str, only_days: list[date] | None = None) -> None:
+    """A table partitioned by ``deposit_date``: as a whole, or the partitions of the given days alone."""
+    mode = "static" if only_days is None else "dynamic"
+    df.write.mode("overwrite").option("partitionOverwriteMode", mode).partitionBy("deposit_date").parquet(path)

@@ -17,15 +17,18 @@ from spanledger import constants as C
 from spanledger.functions import hexcodec as H
 from spanledger.functions.numbers import percent_of, round_half_up
 from spanledger.functions.times import text_to_timestamp
-from spanledger.operators import ingest, marts, quality, unify
+from spanledger.operators import ingest, marts, quality, rules, unify
+from spanledger.model_rules import LAYERS, PER_CHAIN, RAW_REQUIRED
 from spanledger.operators import decode as D
 from spanledger.operators.percentiles import grouped_median
 from spanledger.plans import oracles as O
 from spanledger.plans import star_input as S
 from spanledger.plans import stored
+from spanledger.plans.daily import DailyStore
 from spanledger.plans.pipeline import Bridge
 from spanledger.schemas import LINEAGE
 from spanledger.session import configure, shared_folder
+from spanledger.session import stored as stored_table
 from spanledger.sources import chains, keyed, landing, logs, prices
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -198,7 +201,47 @@ def raw_to_general_overview(spark, sf_dir):
 @query(_CONCENTRATION)
 def stored_match_to_concentration(spark, sf_dir):
     """The match written once, and a mart built from the stored table."""
-    return bridge(spark, sf_dir).store(spark, shared_folder(spark)).route_concentration_risk
+    return bridge(spark, sf_dir).store(spark, shared_folder(spark))[0].route_concentration_risk
+
+
+def _two_loads(spark: SparkSession, sf_dir: str) -> tuple[DailyStore, Bridge, DataFrame]:
+    """The tables after a first load of all logs up to a moment, all logs, and the later ones as a second load."""
+    whole = bridge(spark, sf_dir)
+    early = F.col("timestamp_datetime") < F.lit(stored.FIRST_LOAD_END).cast("timestamp")
+    store = DailyStore(spark, shared_folder(spark))
+    store.build(Bridge(whole.landed.filter(early), whole.chain_metadata, whole.token_metadata, whole.token_prices))
+    return store, whole, whole.landed.filter(~early)
+
+
+@query(O._model("general_overview"))
+def daily_refresh_overview(spark, sf_dir):
+    """The overview after two loads, of which the second wrote the days it touched: as after one."""
+    store, whole, second = _two_loads(spark, sf_dir)
+    store.refresh(whole, second)
+    return _rounded(store.mart(whole, "general_overview"), ["total_deposit_volume", "total_filled_volume"], 2)
+
+
+@query(_CONCENTRATION)
+def daily_refresh_concentration(spark, sf_dir):
+    """The concentration of routes after two loads, from volumes kept by day."""
+    store, whole, second = _two_loads(spark, sf_dir)
+    store.refresh(whole, second)
+    return store.route_concentration_risk()
+
+
+@query(
+    f"""SELECT CAST(CAST(deposit_timestamp AS DATE) AS VARCHAR) AS deposit_date,
+      max(greatest(deposit_timestamp, coalesce(fill_timestamp, deposit_timestamp))) < TIMESTAMP '{stored.FIRST_LOAD_END}' AS kept
+    FROM deposit_fill_matching GROUP BY 1"""
+)
+def daily_refresh_files(spark, sf_dir):
+    """Which days of the stored match kept their files through the second load."""
+    store, whole, second = _two_loads(spark, sf_dir)
+    before = stored_table(store.files())
+    store.refresh(whole, second)
+    both = store.files().withColumn("now", F.lit(1)).join(before.withColumn("then", F.lit(1)), ["deposit_date", "file"], "full")
+    kept = F.bool_and(F.col("now").isNotNull() & F.col("then").isNotNull())
+    return both.groupBy(F.col("deposit_date").cast("string").alias("deposit_date")).agg(kept.alias("kept"))
 
 
 @query("SELECT latency_tier, count(*)::BIGINT AS fills FROM deposit_fill_matching GROUP BY latency_tier")
@@ -613,7 +656,7 @@ _NONE = "FALSE"
 
 @query(
     O._rules(
-        {f"missing {c}": "ln = 4" if c == "data" else _NONE for c in quality.RAW_REQUIRED}
+        {f"missing {c}": "ln = 4" if c == "data" else _NONE for c in RAW_REQUIRED}
         | {"bad transactionHash": "ln = 6", "bad address": "ln = 7", "empty topics": "ln = 5", "bad topic0": _NONE},
         "f",
     )
@@ -625,7 +668,7 @@ def dq_raw_logs(spark, sf_dir):
 
 _RAW_RULES = ", ".join(
     f"('{r}')"
-    for r in [*(f"missing {c}" for c in quality.RAW_REQUIRED), "bad transactionHash", "bad address", "empty topics", "bad topic0", "invalid line"]
+    for r in [*(f"missing {c}" for c in RAW_REQUIRED), "bad transactionHash", "bad address", "empty topics", "bad topic0", "invalid line"]
 )
 
 
@@ -840,13 +883,13 @@ def dq_reconcile(spark, sf_dir):
     return quality.reconcile_load(landed.filter(chain != "zora"), table)
 
 
-_LAYERS = ["stage_deposits", "stage_fills", "stage_refunds", "unified_deposits", "unified_fills", "unified_refunds", "refunds_expanded"]
-_REPORTS = ["deposit_fill_matching", "general_overview", "fill_latency_analysis", "bridge_fee_analysis"]
+_LAYERS = [*LAYERS["staging"], *LAYERS["intermediate"][:-1]]
+_REPORTS = ["deposit_fill_matching", *LAYERS["marts"]]
 
 
 def _model_reports(spark: SparkSession, sf_dir: str, models: list[str]) -> DataFrame:
     b = bridge_over_match(spark, sf_dir) if models == _REPORTS else bridge(spark, sf_dir)
-    return reduce(DataFrame.unionByName, [quality.model_report(getattr(b, m), m) for m in models])
+    return reduce(DataFrame.unionByName, [rules.report(getattr(b, m), m) for m in models])
 
 
 @query(O.model_rules(_LAYERS))
@@ -861,6 +904,60 @@ def dq_schema_rules_marts(spark, sf_dir):
     return _model_reports(spark, sf_dir, _REPORTS)
 
 
+@query(O.model_rules(_REPORTS))
+def dq_rules_on_write(spark, sf_dir):
+    """The same report, counted while the match and the marts were written."""
+    return bridge(spark, sf_dir).store(spark, shared_folder(spark))[1]
+
+
+def declared_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A verdict for every declared check of every layer: for each chain where a layer has a table a chain."""
+    b = bridge_over_match(spark, sf_dir)
+    parts = []
+    for layer, models in LAYERS.items():
+        for model in models:
+            rows = b.landed if model == "landed_logs" else getattr(b, model)
+            if layer in PER_CHAIN:
+                found = rules.report_by_chain(rows, model)
+            else:
+                found = rules.report(rows, model).withColumn("chain", F.lit(None).cast("string"))
+            parts.append(found.withColumn("layer", F.lit(layer)))
+    return reduce(DataFrame.unionByName, parts)
+
+
+@query(O.declared_checks())
+def dq_declared_checks(spark, sf_dir):
+    """All declared checks, chain by chain where they are declared so."""
+    return declared_checks(spark, sf_dir)
+
+
+@query(
+    f"""SELECT layer, severity, count(*)::BIGINT AS checks, (count(*) FILTER (WHERE NOT passed))::BIGINT AS failed FROM ({O.declared_checks()}
+      UNION ALL SELECT 'tests', NULL, NULL, 'negative bridge fees', 'error', n, NULL, n = 0 FROM (SELECT count(*) AS n FROM (
+        SELECT 1 FROM deposit_fill_matching WHERE bridge_fee_nominal < 0 GROUP BY origin_chain_name, destination_chain_name, deposit_token_symbol))
+      UNION ALL SELECT 'tests', NULL, NULL, 'suspicious amounts', 'error', n, NULL, n = 0 FROM (SELECT count(*) AS n FROM (
+        SELECT 1 FROM unified_deposits WHERE input_amount < 0.01 AND input_token_symbol IN ('USDC', 'USDT', 'DAI')
+        GROUP BY origin_chain_name, input_token_symbol, input_token_address HAVING count(*) > 10))
+      UNION ALL SELECT 'tests', NULL, NULL, 'token metadata', 'error', n, NULL, n = 0 FROM (SELECT count(*) AS n FROM unified_deposits
+        WHERE input_token_symbol IS NULL AND input_token_address <> '{O.LISTED}')
+      UNION ALL SELECT 'tests', NULL, NULL, 'token prices', 'warn', n, NULL, n = 0 FROM (SELECT count(*) AS n FROM unified_deposits WHERE input_token_symbol = 'USDC.e')
+    ) GROUP BY ALL"""
+)
+def dq_verdicts_by_layer(spark, sf_dir):
+    """How many declared checks each layer has and how many failed, errors apart from warnings; with the four checks that search for rows."""
+    b = bridge_over_match(spark, sf_dir)
+    searched = [
+        rules.found_rows(quality.negative_bridge_fees(b.deposit_fill_matching), "negative bridge fees"),
+        rules.found_rows(quality.suspicious_amounts(b.unified_deposits), "suspicious amounts"),
+        rules.found_rows(quality.missing_token_metadata(b.unified_deposits), "token metadata"),
+        rules.found_rows(quality.missing_token_prices(b.unified_deposits, b.unified_fills, b.token_prices), "token prices", "warn"),
+    ]
+    columns = ["layer", "severity", "passed"]
+    tests = reduce(DataFrame.unionByName, searched).withColumn("layer", F.lit("tests")).select(*columns)
+    every = declared_checks(spark, sf_dir).select(*columns).unionByName(tests)
+    return every.groupBy("layer", "severity").agg(F.count("*").alias("checks"), F.count_if(~F.col("passed")).alias("failed"))
+
+
 @query("SELECT origin_chain_id, deposit_id, count(*)::BIGINT AS copies FROM unified_fills GROUP BY ALL HAVING count(*) > 1")
 def dq_unique_key(spark, sf_dir):
     """Deposits with more than one fill."""

@@ -1,7 +1,7 @@
 """The fixed values, written out again: the SQL restatements share them with the operators."""
 
 from spanledger import constants as C
-from spanledger.operators.quality import MODEL_RULES
+from spanledger.model_rules import MODEL_RULES
 from spanledger.plans.star_input import CHAINS, TOKENS
 
 

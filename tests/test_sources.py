@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from spanledger import constants as C
+from spanledger.model_rules import MODEL_RULES
 from spanledger.operators import ingest, quality
 from spanledger.schemas import DECODED, LANDED
 from spanledger.sources import chains, landing, logs, prices
@@ -108,5 +109,5 @@ def test_schema_differences(spark):
 
 
 def test_rule_counts_match_declared_model_rules():
-    assert sum(len(r["not_null"]) for n, r in quality.MODEL_RULES.items() if n.startswith("stage_")) == 39
-    assert set(quality.MODEL_RULES["stage_refunds"]["accepted"]["chain_id"]) == set(C.SUPPORTED_CHAINS.values())
+    assert sum(len(r["not_null"]) for n, r in MODEL_RULES.items() if n.startswith("stage_")) == 39
+    assert set(MODEL_RULES["stage_refunds"]["accepted"]["chain_id"]) == set(C.SUPPORTED_CHAINS.values())
