@@ -236,17 +236,42 @@ def file_profile(df: DataFrame) -> DataFrame:
 CRITICAL_COLUMNS = ["transactionHash", "timestamp_datetime", "topic_0", "gas_price_wei", "gas_used"]
 
 
-def load_stats(df: DataFrame, side: str) -> DataFrame:
+def fingerprint(columns: list[str]) -> Column:
+    """Aggregate: a number that is the same for the same rows in any order, copies counted.
+
+    The sum of 64-bit hashes of whole rows, in digits that cannot overflow. Sums are combined before the shuffle.
+    """
+    return F.coalesce(F.sum(F.xxhash64(*columns).cast("decimal(20,0)")), F.lit(0).cast("decimal(30,0)"))
+
+
+def load_stats(df: DataFrame, side: str, contents: bool = False) -> DataFrame:
+    content = [fingerprint(list(DECODED)).alias(f"{side}_content")] if contents else []
     return df.groupBy("blockchain").agg(
         F.count("*").alias(f"{side}_rows"),
         F.count_distinct("transactionHash").alias(f"{side}_unique_tx"),
         *[F.count_if(F.col(c).isNull()).alias(f"{side}_null_{c}") for c in CRITICAL_COLUMNS],
+        *content,
     )
 
 
-def reconcile_load(files: DataFrame, table: DataFrame) -> DataFrame:
-    """Per chain: do file and table agree? Counts must, the rest only warns."""
-    both = load_stats(files, "file").join(load_stats(table, "table"), "blockchain", "full")
+def content_differences(left: DataFrame, right: DataFrame, by: list[str]) -> DataFrame:
+    """Groups whose decoded rows are not the same on both sides, with the rows of each."""
+
+    def side(df: DataFrame, name: str) -> DataFrame:
+        return df.groupBy(*by).agg(F.count("*").alias(f"{name}_rows"), fingerprint(list(DECODED)).alias(name))
+
+    both = side(left, "left").join(side(right, "right"), by, "full")
+    differ = ~(F.col("left").eqNullSafe(F.col("right")) & F.col("left_rows").eqNullSafe(F.col("right_rows")))
+    return both.filter(differ).select(*by, "left_rows", "right_rows")
+
+
+def reconcile_load(files: DataFrame, table: DataFrame, contents: bool = False) -> DataFrame:
+    """Per chain: do file and table agree? Counts must, the rest only warns.
+
+    With ``contents`` all decoded columns are read, and a chain of equal counts with any other value in a row is named too.
+    """
+    both = load_stats(files, "file", contents).join(load_stats(table, "table", contents), "blockchain", "full")
+    content_differs = F.col("file_content") != F.col("table_content") if contents else F.lit(False)
     nulls_differ = F.lit(False)
     for c in CRITICAL_COLUMNS:
         nulls_differ = nulls_differ | (F.col(f"file_null_{c}") != F.col(f"table_null_{c}"))
@@ -261,6 +286,7 @@ def reconcile_load(files: DataFrame, table: DataFrame) -> DataFrame:
         .when(F.col("file_rows") != F.col("table_rows"), "ERROR: row count differs")
         .when(F.col("file_unique_tx") != F.col("table_unique_tx"), "WARN: transactions differ")
         .when(nulls_differ, "WARN: null counts differ")
+        .when(content_differs, "WARN: contents differ")
         .otherwise("OK")
         .alias("status"),
     )
