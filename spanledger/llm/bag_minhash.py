@@ -13,13 +13,15 @@ the probability of their similarity. Points later than a bound that follows
 from the total weight cannot be the earliest and are never made.
 
 Equal texts are put together first. Of the others, those that agree in a band
-are candidates: each with a member of its bucket drawn by a hash, and then,
-across the parts that these links leave, all pairs of a small bucket, and of a
-larger one each member with a few drawn ones. What larger buckets then still
-hold in different parts is compared pair by pair, block against block, by a
-longer signature; none is left out. A pair within a part needs no test.
-Candidates are verified on whole texts. Classes are the connected components of
-the verified links.
+are candidates. First each meets the likeliest of the members drawn by a hash,
+one a bucket; this joins large groups of like texts into one part. Then, across
+the parts that these links leave, all pairs of a small bucket meet, which is a
+bounded number a member. What larger buckets still hold in different parts is
+compared pair by pair, block against block, within tasks: by a longer signature,
+and where that allows the similarity by the counts of all runs of both texts. A
+task gives only links that join two parts, so what leaves it is at most a link a
+member, however many pairs it has looked at. None is left out; a pair within a
+part needs no test. Classes are the connected components of the verified links.
 
 Defined results: NULL text counts as empty; texts without words are copies of
 each other only if equal; a class is named by its least non-NULL id; one row of
@@ -40,12 +42,14 @@ from pyspark.sql import functions as F
 from spanledger.llm import words
 from spanledger.llm.batches import map_batches
 from spanledger.llm.prefilter import flagged, without
+from spanledger.llm.white import spread
 from spanledger.session import stored
 
 SHINGLE, SIMILAR = 5, 0.8
 BANDS, ROWS = 32, 6
 SLOTS = BANDS * ROWS
-SMALL, DRAWN, BLOCK = 64, 8, 512
+# Members of a small bucket; members and runs of a block of a larger one.
+SMALL, BLOCK, BLOCK_RUNS = 16, 512, 400_000
 # Below the mean of the share of equal bytes at SIMILAR by 4.5 standard deviations.
 LEAST_EQUAL = int(SLOTS * (SIMILAR + (1 - SIMILAR) / 256) - 4.5 * (SLOTS * SIMILAR * (1 - SIMILAR)) ** 0.5)
 # The same for the share of equal low bits.
@@ -206,10 +210,11 @@ def sign(docs: DataFrame) -> DataFrame:
 
 
 def buckets(signed: DataFrame) -> DataFrame:
-    """Members of the buckets that hold more than one, stored: bucket, node, weight, bits, size ``n`` and a ``pivot`` drawn by a hash."""
+    """Members of the buckets that hold more than one, stored: bucket, node, weight, bits, size ``n``, ``blocks`` and a ``pivot`` drawn by a hash."""
     each = signed.select("node", "weight", *[F.col("bits")[k].alias(f"b{k}") for k in range(WORDS)], F.explode("keys").alias("bucket"))
     drawn = F.min(F.struct(F.xxhash64("node", "bucket").alias("h"), "node", "weight", *BIT_NAMES)).alias("pivot")
-    sizes = stored(each.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"), drawn).where(F.col("n") > 1))
+    blocks = F.ceil(F.greatest(F.count(F.lit(1)) / BLOCK, F.sum("weight") / BLOCK_RUNS)).cast("int").alias("blocks")
+    sizes = stored(each.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"), blocks, drawn).where(F.col("n") > 1))
     return stored(each.join(sizes.hint("merge"), "bucket"))
 
 
@@ -238,77 +243,93 @@ def with_pivots(members: DataFrame) -> DataFrame:
 
 def in_parts(members: DataFrame, parts: DataFrame) -> DataFrame:
     """Members of the buckets that hold several of the ``parts`` (node, least), each with its own, stored."""
-    held = members.drop("pivot").join(parts.hint("merge"), "node", "left")
+    held = members.drop("pivot", "least").join(parts.hint("merge"), "node", "left")
     held = stored(held.withColumn("least", F.coalesce("least", "node")))
     several = held.groupBy("bucket").agg(F.min("least").alias("l"), F.max("least").alias("m")).where("l <> m").select("bucket")
     return stored(held.join(stored(several).hint("merge"), "bucket"))
 
 
 def across_parts(held: DataFrame, signed: DataFrame) -> DataFrame:
-    """Candidates between members of a bucket that lie in different parts, stored: all pairs of a small bucket; of
-    a larger one every member with a few of them drawn by a hash, so that most parts meet before ``across_blocks``.
-    """
-    of_draw = Window.partitionBy("bucket").orderBy(F.xxhash64("node", "bucket"), "node")
-    small, large = held.where(F.col("n") <= SMALL), held.where(F.col("n") > SMALL)
-    asked = stored(large.withColumn("r", F.row_number().over(of_draw)).where(F.col("r") <= DRAWN).drop("r"))
-    # In a small bucket each pair once; a drawn member meets all others, drawn or not.
-    pairs = _meeting(small, small, F.col("node") < F.col("_node")).unionByName(_meeting(large, asked, F.lit(True)))
-    return _by_sketch(pairs.select("a", "b").distinct(), signed)
+    """Candidates between members of a small bucket that lie in different parts, stored: each pair of a bucket once."""
+    small = held.where(F.col("n") <= SMALL)
+    return _by_sketch(_meeting(small, small, F.col("node") < F.col("_node")).select("a", "b").distinct(), signed)
 
 
-def long_bits(texts: DataFrame) -> DataFrame:
-    """``node`` and a bit of each slot of the longer signature (``long``) of the texts (node, text), stored."""
+def fine(texts: DataFrame) -> DataFrame:
+    """Of texts (node, text): ``node``, a bit of each slot of the longer signature (``long``), and the hashes (``runs``, ascending)
+    and counts of all runs, stored."""
 
     def batches(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in rows:
             for a, b in words.runs(batch.column(1), BATCH):
                 for k in range(a, b, BLOCK):
                     part = batch.slice(k, min(b - k, BLOCK))
-                    marks = signatures(*shingles(part.column(1)), part.num_rows, LONG)
+                    owner, run, count = shingles(part.column(1))
+                    marks = signatures(owner, run, count, part.num_rows, LONG)
                     # The lowest bits of a mark follow from its slot.
                     packed = np.packbits((marks >> np.uint64(32) & np.uint64(1)).astype(np.uint8), axis=1)
-                    yield pa.RecordBatch.from_arrays([part.column(0), pa.array([x.tobytes() for x in packed], pa.binary())], ["node", "long"])
+                    at = np.searchsorted(owner, np.arange(part.num_rows + 1)).tolist()
+                    spans = [slice(i, j) for i, j in zip(at[:-1], at[1:], strict=True)]
+                    columns = [[x.tobytes() for x in packed], [run[i].tobytes() for i in spans], [count[i].astype(np.int32).tobytes() for i in spans]]
+                    yield pa.RecordBatch.from_arrays([part.column(0), *(pa.array(x, pa.binary()) for x in columns)], ["node", "long", "runs", "counts"])
 
-    return stored(map_batches(texts.select("node", "text"), batches, "node bigint, long binary"))
+    return stored(map_batches(texts.select("node", "text"), batches, "node bigint, long binary, runs binary, counts binary"))
 
 
-def across_blocks(held: DataFrame, signed: DataFrame, long: DataFrame) -> DataFrame:
-    """Candidates (``a``, ``b``, ``equal``) among all pairs of members of a bucket that lie in different parts, stored.
+def across_blocks(held: DataFrame, signed: DataFrame, finer: DataFrame) -> DataFrame:
+    """Links (``a``, ``b``) that join parts, found among all pairs of members of a bucket that lie in different parts; stored.
 
-    A bucket's members are dealt into blocks, and every two blocks meet in a group of their own, so no
-    task holds a whole bucket. A pair is given in the first bucket it shares.
+    A bucket's members are dealt into blocks of some hundred members and runs, and every two blocks meet in a
+    group of their own, so no task holds a whole bucket. A pair is tested in the first bucket it shares. Parts
+    that a group has joined count as one part in it from there on.
     """
-    blocks = F.ceil(F.col("n") / BLOCK).cast("int")
-    own = held.select("bucket", "node", "weight", "least", blocks.alias("blocks"))
+    own = held.select("bucket", "node", "weight", "least", "blocks")
     own = own.withColumn("block", F.pmod(F.xxhash64("node", "bucket"), F.col("blocks")).cast("int"))
     met = own.withColumn("j", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     met = met.select("bucket", "node", "weight", "least", "block", F.least("block", "j").alias("lo"), F.greatest("block", "j").alias("hi"))
-    marks = stored(long.join(signed.select("node", "keys").hint("merge"), "node"))
+    marks = stored(finer.join(signed.select("node", "keys").hint("merge"), "node"))
     every = met.join(marks.hint("merge"), "node")
 
     def compare(table: pa.Table) -> pa.Table:
         node, weight, least, block, bucket = (table[c].to_numpy() for c in ("node", "weight", "least", "block", "bucket"))
         keys = table["keys"].combine_chunks().flatten().to_numpy().reshape(-1, BANDS)
         long = np.frombuffer(b"".join(table["long"].to_pylist()), np.uint64).reshape(-1, LONG // 64)
+        held = table["runs"].to_pylist()
+        size = np.fromiter(map(len, held), np.int64, len(held)) // 8
+        run, count = np.frombuffer(b"".join(held), np.uint64), np.frombuffer(b"".join(table["counts"].to_pylist()), np.int32)
+        at = size.cumsum() - size
         lo, hi = table["lo"][0].as_py(), table["hi"][0].as_py()
         x, y = np.flatnonzero(block == lo), np.flatnonzero(block == hi)
-        found = [np.empty((0, 3), np.int64)]
+        part = np.unique(least, return_inverse=True)[1]
+        found = []
         for k in range(0, len(x) if len(y) else 0, 16):
             i = x[k : k + 16, None]
             light, heavy = np.minimum(weight[i], weight[y]), np.maximum(weight[i], weight[y])
-            may = (least[i] != least[y]) & (light >= SIMILAR * heavy) & ((lo != hi) | (node[i] < node[y]))
+            may = (part[i] != part[y]) & (light >= SIMILAR * heavy) & ((lo != hi) | (node[i] < node[y]))
             p, q = np.nonzero(may)
             p, q = i[p, 0], y[q]
-            equal = LONG - np.bitwise_count(long[p] ^ long[q]).sum(1, dtype=np.int64)
-            near = equal >= LEAST_LONG
-            p, q, equal = p[near], q[near], equal[near]
+            near = LONG - np.bitwise_count(long[p] ^ long[q]).sum(1, dtype=np.int64) >= LEAST_LONG
+            p, q = p[near], q[near]
             first = keys[p, (keys[p] == keys[q]).argmax(1)] == bucket[p]
-            p, q, equal = p[first], q[first], equal[first]
-            found.append(np.stack([np.minimum(node[p], node[q]), np.maximum(node[p], node[q]), equal], axis=1))
-        out = np.concatenate(found)
-        return pa.table({"a": out[:, 0], "b": out[:, 1], "equal": out[:, 2]})
-
-    return stored(every.groupBy("bucket", "lo", "hi").applyInArrow(compare, "a bigint, b bigint, equal bigint"))
+            p, q = p[first], q[first]
+            for one in np.unique(p).tolist():
+                others = q[p == one]
+                others = others[part[others] != part[one]]
+                if not len(others):
+                    continue
+                mine, my = run[at[one] : at[one] + size[one]], count[at[one] : at[one] + size[one]]
+                index = spread(at[others], size[others])
+                place = np.minimum(np.searchsorted(mine, run[index]), len(mine) - 1)
+                both = np.where(mine[place] == run[index], np.minimum(my[place], count[index]), 0)
+                less = np.add.reduceat(both, size[others].cumsum() - size[others])
+                for other in others[less / (weight[one] + weight[others] - less) >= SIMILAR].tolist():
+                    if part[other] != part[one]:
+                        part[part == part[other]] = part[one]
+                        found.append((min(node[one], node[other]), max(node[one], node[other])))
+        out = np.array(found, np.int64).reshape(-1, 2)
+        return pa.table({"a": out[:, 0], "b": out[:, 1]})
+
+    return stored(every.groupBy("bucket", "lo", "hi").applyInArrow(compare, "a bigint, b bigint"))
 
 
 def _meeting(members: DataFrame, others: DataFrame, which: Column) -> DataFrame:
@@ -379,51 +400,30 @@ def classes(docs: DataFrame) -> DataFrame:
     unique = sign(docs).dropDuplicates(["digest"])
     signed = stored(unique.withColumn("node", F.monotonically_increasing_id()))
     members = buckets(signed)
-    near = with_pivots(members)
-    # First the best candidate of every node, then the others across the parts this gives, then what else
-    # a bucket holds across parts: each step leaves fewer pairs to the next.
-    links, parts = settle(near, None, signed, docs)
+    # First the best candidate of every node, then what small buckets hold across the parts this gives, then
+    # what larger ones do: each step leaves fewer pairs to the next.
+    best = likeliest(with_pivots(members))
+    links = verified(best, texts_of(best, signed, docs))
+    parts = components(links)
     held = in_parts(members, parts)
+    rest = stored(across_parts(held, signed).join(best, ["a", "b"], "left_anti"))
+    if not rest.isEmpty():
+        links = links.unionByName(verified(rest, texts_of(rest, signed, docs)))
+        parts = components(links)
+    large = held.where(F.col("n") > SMALL)
+    held = large if large.isEmpty() else in_parts(large, parts)
     if not held.isEmpty():
-        rest = across_parts(held, signed)
-        if not rest.isEmpty():
-            links = links.unionByName(verified(rest, texts_of(rest, signed, docs)))
-            parts = components(links)
-        # Small buckets are done; of large ones every pair that is still across parts.
-        large = members.where(F.col("n") > SMALL)
-        held = large.limit(0) if large.isEmpty() else in_parts(large, parts)
-        if not held.isEmpty():
-            nodes = stored(held.select("node").distinct())
-            long = long_bits(texts_of(nodes.select(F.col("node").alias("a"), F.col("node").alias("b")), signed, docs))
-            tried = near.select("a", "b").union(rest.select("a", "b"))
-            further = stored(across_blocks(held, signed, long).join(tried, ["a", "b"], "left_anti"))
-            links, parts = settle(further, links, signed, docs)
+        nodes = stored(held.select("node").distinct())
+        finer = fine(texts_of(nodes.select(F.col("node").alias("a"), F.col("node").alias("b")), signed, docs))
+        parts = components(links.select("a", "b").unionByName(across_blocks(held, signed, finer)))
     return stored(signed.select("node", "digest").join(parts.hint("merge"), "node").select("digest", "least"))
 
 
-def settle(near: DataFrame, links: DataFrame | None, signed: DataFrame, docs: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Links and their components with the candidates (``a``, ``b``, ``equal``) verified: the best one of every node, then
-    those that still lie across.
-    """
+def likeliest(near: DataFrame) -> DataFrame:
+    """Of the candidates (``a``, ``b``, ``equal``) the best one of every node, stored."""
     ends = near.select("a", "b", "equal", F.explode(F.array("a", "b")).alias("node"))
     best = ends.groupBy("node").agg(F.max_by(F.struct("a", "b"), F.struct("equal", -F.col("a"), -F.col("b"))).alias("p"))
-    best = stored(best.select("p.a", "p.b").distinct())
-    found = verified(best, texts_of(best, signed, docs))
-    links = links.unionByName(found) if links is not None else found
-    parts = components(links)
-    rest = stored(_across(near.select("a", "b"), parts).join(best, ["a", "b"], "left_anti"))
-    if not rest.isEmpty():
-        links = links.unionByName(verified(rest, texts_of(rest, signed, docs)))
-        parts = components(links)
-    return links, parts
-
-
-def _across(pairs: DataFrame, parts: DataFrame) -> DataFrame:
-    """The pairs whose nodes lie in different parts; a node in none is a part of its own."""
-    la = parts.select(F.col("node").alias("a"), F.col("least").alias("la"))
-    lb = parts.select(F.col("node").alias("b"), F.col("least").alias("lb"))
-    joined = pairs.join(la, "a", "left").join(lb, "b", "left")
-    return joined.where(F.coalesce("la", "a") != F.coalesce("lb", "b")).select("a", "b")
+    return stored(best.select("p.a", "p.b").distinct())
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
