@@ -22,6 +22,7 @@ from spanledger.model_rules import LAYERS, PER_CHAIN, RAW_REQUIRED
 from spanledger.operators import decode as D
 from spanledger.operators.percentiles import grouped_median
 from spanledger.plans import oracles as O
+from spanledger.plans import sql
 from spanledger.plans import star_input as S
 from spanledger.plans import stored
 from spanledger.plans.daily import DailyStore
@@ -411,6 +412,35 @@ def undecodable_logs(spark, sf_dir):
     return D.undecodable_logs(damaged, chains.supported_chains(spark))
 
 
+# ---- SQL over the layers ---------------------------------------------------
+
+
+@query(
+    """SELECT l.chain AS blockchain, l.logs, l.first_time, l.last_block, l.recipients, d.deposits, d.volume
+    FROM (SELECT oname AS chain, count(*)::BIGINT AS logs, min(make_timestamp(dep * 1000000)) AS first_time, max(dep // 12)::BIGINT AS last_block,
+        count(DISTINCT cust + 1)::BIGINT AS recipients FROM o GROUP BY oname) l
+      JOIN (SELECT origin_chain_name, count(*)::BIGINT AS deposits, CAST(sum(CAST(input_amount_usd AS DECIMAL(28,2))) AS DOUBLE) AS volume
+        FROM unified_deposits GROUP BY ALL) d ON l.chain = d.origin_chain_name"""
+)
+def sql_text_over_layers(spark, sf_dir):
+    """A query in SQL text: raw deposit logs read by SQL functions, beside the unified deposits of the same chain."""
+    sql.register(spark, bridge(spark, sf_dir), stored.raw_logs(spark, sf_dir), "bridge_")
+    return spark.sql(
+        f"""WITH logs AS (
+          SELECT blockchain, hex_to_integer(blockNumber) AS block, text_to_timestamp(CAST(hex_to_integer(timeStamp) AS STRING)) AS time,
+            hex_to_address(substr(data, 3 + 64 * 7, 64)) AS recipient
+          FROM bridge_raw_logs WHERE topics[0] = '{C.FUNDS_DEPOSITED}'),
+        by_chain AS (
+          SELECT blockchain, count(*) AS logs, min(time) AS first_time, max(block) AS last_block, count(DISTINCT recipient) AS recipients
+          FROM logs GROUP BY blockchain),
+        deposits AS (
+          SELECT origin_chain_name, count(*) AS deposits, CAST(sum(CAST(input_amount_usd AS DECIMAL(28,2))) AS DOUBLE) AS volume
+          FROM bridge_unified_deposits GROUP BY origin_chain_name)
+        SELECT blockchain, logs, first_time, last_block, recipients, deposits, volume
+        FROM by_chain JOIN deposits ON blockchain = origin_chain_name"""
+    )
+
+
 # ---- sources and sinks -----------------------------------------------------
 
 
