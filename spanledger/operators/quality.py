@@ -188,6 +188,27 @@ def schema_differences(df: DataFrame) -> DataFrame:
     return df.sparkSession.createDataFrame(rows, "column_name STRING, expected STRING, found STRING")
 
 
+def column_report(df: DataFrame) -> DataFrame:
+    """Every decoded column: the type it should have, the one it has (NULL: missing), rows, how many are NULL, and whether the type is right.
+
+    One pass over the columns that are there.
+    """
+    kinds = dict(df.dtypes)
+    counted = df.agg(F.count("*").alias("rows"), *[F.count(c).alias(f"n_{c}") for c in DECODED if c in kinds])
+    entries = [
+        F.struct(
+            F.lit(c).alias("column_name"),
+            F.lit(kind).alias("expected"),
+            F.lit(kinds.get(c)).cast("string").alias("found"),
+            F.col("rows"),
+            (F.col("rows") - (F.col(f"n_{c}") if c in kinds else F.lit(0).cast("bigint"))).alias("nulls"),
+            F.lit(kinds.get(c) == kind).alias("type_ok"),
+        )
+        for c, kind in DECODED.items()
+    ]
+    return counted.select(F.inline(F.array(*entries)))
+
+
 def decoded_rules() -> Rules:
     return {
         **{f"null {c}": F.col(c).isNull() for c in ("transactionHash", "timestamp_datetime", "topic_0")},

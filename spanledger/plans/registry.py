@@ -27,7 +27,7 @@ from spanledger.plans import star_input as S
 from spanledger.plans import stored
 from spanledger.plans.daily import DailyStore
 from spanledger.plans.pipeline import Bridge
-from spanledger.schemas import LINEAGE
+from spanledger.schemas import DECODED, LINEAGE, PRICE_TEXT, RECEIPT
 from spanledger.session import configure, shared_folder
 from spanledger.session import stored as stored_table
 from spanledger.sources import chains, keyed, landing, ledger, logs, prices
@@ -523,37 +523,55 @@ def load_status(spark, sf_dir):
 
 
 @query(
-    """SELECT count(*)::BIGINT AS row_count, count(k)::BIGINT AS deposit_ids, 0::BIGINT AS relayers, 0::BIGINT AS refund_counts,
-      35::BIGINT AS column_count FROM o"""
+    """SELECT count(*)::BIGINT AS row_count, count(k) FILTER (WHERE ev <> 'r')::BIGINT AS deposit_ids, 0::BIGINT AS relayers, 0::BIGINT AS refund_counts,
+      count(*) FILTER (WHERE ev = 'r')::BIGINT AS leaves, 35::BIGINT AS column_count FROM landed"""
 )
 def missing_columns_to_null(spark, sf_dir):
-    """A narrow file fitted to the landing schema: absent columns are NULL."""
-    narrow = S.landed_deposits(spark, sf_dir).drop("topic_relayer", "refund_count", "refund_amounts", "amount_to_return")
+    """Narrow files of all events fitted to the landing schema: absent columns are NULL."""
+    narrow = stored.landed_logs(spark, sf_dir).drop("topic_relayer", "refund_count", "refund_amounts", "amount_to_return")
     fitted = landing.fit_columns(narrow)
     return fitted.agg(
         F.count("*").alias("row_count"),
         F.count("topic_deposit_id").alias("deposit_ids"),
         F.count("topic_relayer").alias("relayers"),
         F.count("refund_count").alias("refund_counts"),
+        F.count("topic_leaf_id").alias("leaves"),
         F.lit(len(fitted.columns)).alias("column_count"),
     )
 
 
+_EVENTS_OF = {
+    "timestamp_datetime": "dfr", "transactionHash": "dfr", "topic_0": "dfr", "topic_deposit_id": "df", "topic_origin_chain_id": "f", "topic_relayer": "f",
+    "topic_destination_chain_id": "d", "topic_depositor": "d",
+}
+
+
+def _filled_in(column: str) -> str:
+    """SQL condition on ``landed``: logs that have a value in a column."""
+    if column in ("gas_price_wei", "gas_used"):
+        return "gp IS NOT NULL"
+    events = _EVENTS_OF.get(column) or {"filled": "f", "funds": "d"}.get(column.split("_")[0], "r")
+    return "ev IN (" + ", ".join(f"'{e}'" for e in events) + ")"
+
+
 @query(
-    """SELECT deposit_timestamp, deposit_id, destination_chain_id, input_amount_raw FROM stage_deposits"""
+    "\nUNION ALL ".join(
+        f"SELECT '{c}' AS column_name, count(*)::BIGINT AS present, count(DISTINCT CASE WHEN {_filled_in(c)} THEN chain END)::BIGINT AS chains FROM landed WHERE {_filled_in(c)}"
+        for c in DECODED
+    )
 )
 def text_landing_retyped(spark, sf_dir):
-    """An all-TEXT landing table, with ids such as "8453.0", typed again."""
-    landed = S.landed_deposits(spark, sf_dir)
+    """An all-TEXT landing table of all events, with ids such as "8453.0", typed again: the values that came through unchanged, by column."""
+    landed = stored.landed_logs(spark, sf_dir)
     as_text = {c: F.col(c).cast("string") for c in landing.LANDED}
-    as_text["topic_destination_chain_id"] = F.concat(as_text["topic_destination_chain_id"], F.lit(".0"))
+    for c in ("topic_destination_chain_id", "topic_origin_chain_id", "topic_chain_id"):
+        as_text[c] = F.concat(as_text[c], F.lit(".0"))
     as_text["timestamp_datetime"] = F.unix_seconds("timestamp_datetime").cast("string")
-    return landing.retype_text(landed.select(*[c.alias(n) for n, c in as_text.items()])).select(
-        F.col("timestamp_datetime").alias("deposit_timestamp"),
-        F.col("topic_deposit_id").alias("deposit_id"),
-        F.col("topic_destination_chain_id").alias("destination_chain_id"),
-        F.col("funds_deposited_data_input_amount").alias("input_amount_raw"),
-    )
+    text = landed.select(F.struct(*landing.LANDED).alias("was"), *[c.alias(n) for n, c in as_text.items()])
+    typed = landing.retype_text(text, "was")
+    same = [F.struct(F.lit(c).alias("column_name"), (F.col(c).isNotNull() & F.col(c).eqNullSafe(F.col(f"was.{c}"))).alias("same")) for c in DECODED]
+    found = typed.select("blockchain", F.inline(F.array(*same))).filter("same")
+    return found.groupBy("column_name").agg(F.count("*").alias("present"), F.count_distinct("blockchain").alias("chains"))
 
 
 @query("SELECT sym AS token_symbol, count(*)::BIGINT AS prices, min(ts) AS first_time, max(ts) AS last_time, "
@@ -823,6 +841,52 @@ def dq_receipts(spark, sf_dir):
     return report.unionByName(duplicates)
 
 
+_RECEIPT_FAULTS = ["missing transactionHash", "missing gasUsed", "missing gasPrice", "bad transactionHash", "bad gasUsed", "bad gasPrice", "invalid line"]
+
+
+@query(
+    f"""SELECT file AS source_file, rule, (CASE WHEN rule = 'bad gasPrice' AND file = 'receipts_priced.jsonl' THEN n ELSE 0 END)::BIGINT AS failures,
+      n::BIGINT AS checked, n > 0 AND NOT (rule = 'bad gasPrice' AND file = 'receipts_priced.jsonl') AS passed
+    FROM (SELECT 'receipts_plain.jsonl' AS file, count(*) AS n FROM f WHERE gas AND rf = 'R'
+      UNION ALL SELECT 'receipts_priced.jsonl', count(*) FROM f WHERE gas AND rf <> 'R' UNION ALL SELECT 'receipts_none.jsonl', 0),
+      (VALUES {", ".join(f"('{r}')" for r in _RECEIPT_FAULTS)}) AS rules(rule)"""
+)
+def dq_receipt_files(spark, sf_dir):
+    """A verdict for every receipt file and rule; one file has plain-number prices, one expected file is empty."""
+    folder = shared_folder(spark)
+    plain = F.col("effectiveGasPrice") == ""
+    found = receipts(spark, sf_dir).withColumn("gasPrice", F.when(plain, F.col("gasPrice")).otherwise(F.substring("gasPrice", 3, 20)))
+    found.withColumn("kind", F.when(plain, "plain").otherwise("priced")).write.partitionBy("kind").json(f"{folder}/receipts")
+    scanned = spark.read.schema(f"{RECEIPT}, _corrupt_record STRING").json(f"{folder}/receipts")
+    # The folder of a kind stands for its file: Spark writes it in parts.
+    kind = F.regexp_extract(F.col("_metadata.file_path"), "/kind=([a-z]+)/", 1)
+    named = scanned.withColumn("source_file", F.concat(F.lit("receipts_"), kind, F.lit(".jsonl")))
+    expected = spark.createDataFrame([("receipts_none.jsonl",)], "source_file string")
+    return quality.check_files(named, quality.file_kind("receipts_none.jsonl"), expected)
+
+
+@query(
+    f"""SELECT concat('prices_', sym, '.csv') AS source_file, rule, (CASE WHEN rule = fault THEN n ELSE 0 END)::BIGINT AS failures, n::BIGINT AS checked, rule <> fault AS passed
+    FROM (SELECT sym, count(*) AS n, CASE sym WHEN 'USDC' THEN 'invalid price_usd' WHEN 'DAI' THEN 'negative price_usd' WHEN 'WETH' THEN 'invalid timestamp' ELSE '' END AS fault
+      FROM pr GROUP BY sym), (VALUES ('empty token_symbol'), ('invalid price_usd'), ('negative price_usd'), ('invalid timestamp')) AS rules(rule)"""
+)
+def dq_price_files(spark, sf_dir):
+    """A verdict for every price file and rule: a file a token, three of them with a fault of their own."""
+    folder, symbol = shared_folder(spark), F.col("token_symbol")
+    price = F.col("price_usd").cast("string")
+    text = S.token_prices(spark, sf_dir).select(
+        "token_symbol",
+        F.date_format(F.col("timestamp").cast("timestamp"), "yyyy-MM-dd HH:mm:ss").alias("timestamp"),
+        F.when(symbol == "USDC", "n/a").when(symbol == "DAI", F.concat(F.lit("-"), price)).otherwise(price).alias("price_usd"),
+    )
+    short = F.when(symbol == "WETH", F.substring("timestamp", 1, 7)).otherwise(F.col("timestamp"))
+    text.withColumns({"timestamp": short, "file": symbol}).write.partitionBy("file").option("header", True).csv(f"{folder}/prices")
+    scanned = spark.read.schema(PRICE_TEXT).option("header", True).csv(f"{folder}/prices")
+    file = F.regexp_extract(F.col("_metadata.file_path"), "/file=([^/]+)/", 1)
+    named = scanned.withColumn("source_file", F.concat(F.lit("prices_"), file, F.lit(".csv")))
+    return quality.check_files(named, quality.file_kind("prices_x.csv"))
+
+
 @query(
     f"""SELECT concat('logs_', chain, '_{S.WINDOW[0]}_to_{S.WINDOW[1]}') AS file, count(*)::BIGINT AS raw_rows,
       nullif((count(*) FILTER (WHERE chain <> 'monad' AND (chain <> 'linea' OR ev <> 'r'))), 0)::BIGINT AS processed_rows,
@@ -895,6 +959,20 @@ def dq_completeness(spark, sf_dir):
     return quality.rule_report(damaged_landed(spark, sf_dir), quality.completeness_rules(datetime(2024, 1, 20)))
 
 
+@query(
+    "\nUNION ALL ".join(
+        f"SELECT '{c}' AS column_name, '{kind}' AS expected, {'NULL' if c == 'topic_relayer' else repr('string') if c == 'refund_count' else repr(kind)} AS found, "
+        f"count(*)::BIGINT AS rows, (count(*) - count(*) FILTER (WHERE {'FALSE' if c == 'topic_relayer' else _filled_in(c)}))::BIGINT AS nulls, "
+        f"{c not in ('topic_relayer', 'refund_count')} AS type_ok FROM landed"
+        for c, kind in DECODED.items()
+    )
+)
+def dq_decoded_columns(spark, sf_dir):
+    """Types and NULLs of all decoded columns, with one column missing and one of another type."""
+    landed = stored.landed_logs(spark, sf_dir).drop("topic_relayer")
+    return quality.column_report(landed.withColumn("refund_count", F.col("refund_count").cast("string")))
+
+
 @query(
     f"""SELECT dhash AS tx, 2::BIGINT AS copies FROM o WHERE oname = 'scroll'"""
 )

@@ -124,8 +124,8 @@ def table_status(spark: SparkSession, table: str, source_file: str | None = None
     return {"exists": True, "row_count": counted["n"], "file_loaded": counted["loaded"]}
 
 
-def retype_text(df: DataFrame) -> DataFrame:
-    """An all-TEXT landing table to the typed columns (strict on junk)."""
+def retype_text(df: DataFrame, *keep: str) -> DataFrame:
+    """An all-TEXT landing table to the typed columns (strict on junk), after further columns to ``keep`` as they are."""
 
     def typed(name: str, kind: str):
         col = F.col(name)
@@ -135,4 +135,4 @@ def retype_text(df: DataFrame) -> DataFrame:
             return text_to_bigint(col)
         return col.cast(kind)
 
-    return df.select(*[typed(name, kind).alias(name) for name, kind in LANDED.items()])
+    return df.select(*keep, *[typed(name, kind).alias(name) for name, kind in LANDED.items()])
