@@ -615,6 +615,41 @@ def chain_config_rows(spark, sf_dir):
     return chains.token_contracts(chains.config_rows(config))
 
 
+@query(
+    f"""SELECT chain, id AS chain_id, concat('0xPOOL-', id) AS spoke_pool_contract, 3::BIGINT AS topics,
+      (CASE WHEN id > 100 THEN 2 ELSE 1 END)::BIGINT AS tokens FROM ({_CONFIG_TOKENS})"""
+)
+def chain_config_file(spark, sf_dir):
+    """The settings of every chain, looked up by its name, in letters of another case, in a config file read back."""
+    folder = shared_folder(spark)
+    chain_id = F.col("chain_id").cast("string")
+    token = F.when(F.col("chain_id") > 100, F.concat(F.lit("0xWETH-"), chain_id))
+    tokens = F.create_map(F.lit("USDC"), F.concat(F.lit("0xUSDC-"), chain_id), F.lit("WETH"), token)
+    topics = F.array(*[F.lit(t) for t in (C.FILLED_RELAY, C.EXECUTED_REFUND, C.FUNDS_DEPOSITED)])
+    setting = F.struct("chain_id", F.concat(F.lit("0xPOOL-"), chain_id).alias("spoke_pool_contract"), topics.alias("topics"), tokens.alias("tokens"))
+    meta = S.chain_metadata(spark, sf_dir)
+    config = meta.agg(F.to_json(F.map_from_entries(F.collect_list(F.struct(F.upper("chain_name"), setting)))))  # one row a chain
+    config.coalesce(1).write.text(f"{folder}/config")
+    rows = chains.read_chain_config(spark, f"{folder}/config")
+    listed = chains.token_contracts(rows).groupBy("chain_id").agg(F.count("*").alias("tokens"))
+    found = [chains.chain_settings(rows, r.chain_name.title()) for r in meta.select("chain_name").collect()]
+    every = reduce(DataFrame.unionByName, found).drop("tokens").join(listed, "chain_id")
+    return every.select("chain", "chain_id", "spoke_pool_contract", F.size("topics").alias("topics"), "tokens")
+
+
+@query(
+    f"""SELECT {O.file_of('chain')} AS source_file, TRUE AS table_exists, count(*)::BIGINT AS row_count, TRUE AS loaded FROM landed GROUP BY chain
+    UNION ALL SELECT 'logs_none_{S.WINDOW[0]}_to_{S.WINDOW[1]}_processed.parquet', TRUE, 0, FALSE"""
+)
+def loaded_files(spark, sf_dir):
+    """Which files are in a catalog table over the landing folder, one of them not."""
+    path = stored.landing_path(spark, sf_dir)
+    table = stored.table_name(path)
+    spark.sql(f"CREATE OR REPLACE TEMPORARY VIEW {table} USING parquet OPTIONS (path '{path}')")
+    none = spark.createDataFrame([(f"logs_none_{S.WINDOW[0]}_to_{S.WINDOW[1]}_processed.parquet",)], "source_file string")
+    return landing.files_status(spark, table, landing.load_status(stored.landed_logs(spark, sf_dir)).select("source_file").unionByName(none))
+
+
 # ---- ingest ------------------------------------------------------------------
 
 

@@ -60,9 +60,12 @@ def raw_logs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.schema(f"{RAW_LOG}, {fields}").json(path)
 
 
+def landing_path(spark: SparkSession, sf_dir: str) -> str:
+    return _once(spark, sf_dir, "landed", lambda p: landing.refresh_landing(S.landed_logs(spark, sf_dir), p))
+
+
 def landed_logs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = _once(spark, sf_dir, "landed", lambda p: landing.refresh_landing(S.landed_logs(spark, sf_dir), p))
-    return landing.read_landing(spark, path).drop("loaded_at")
+    return landing.read_landing(spark, landing_path(spark, sf_dir)).drop("loaded_at")
 
 
 def table_name(path: str) -> str:

@@ -124,6 +124,16 @@ def table_status(spark: SparkSession, table: str, source_file: str | None = None
     return {"exists": True, "row_count": counted["n"], "file_loaded": counted["loaded"]}
 
 
+def files_status(spark: SparkSession, table: str, files: DataFrame) -> DataFrame:
+    """For every ``source_file`` asked for: is the table there, is the file in it, and with how many rows."""
+    none = F.lit(0).cast("bigint")
+    if not spark.catalog.tableExists(table):
+        return files.select("source_file", F.lit(False).alias("table_exists"), none.alias("row_count"), F.lit(False).alias("loaded"))
+    rows = spark.table(table).groupBy("source_file").agg(F.count("*").alias("n"))
+    counted = F.coalesce(F.col("n"), none)
+    return files.join(rows, "source_file", "left").select("source_file", F.lit(True).alias("table_exists"), counted.alias("row_count"), (counted > 0).alias("loaded"))
+
+
 def retype_text(df: DataFrame, *keep: str) -> DataFrame:
     """An all-TEXT landing table to the typed columns (strict on junk), after further columns to ``keep`` as they are."""
 
