@@ -6,12 +6,12 @@ every node with its neighbours and the nodes that have it as neighbour, compares
 those with each other (neighbours of neighbours), and keeps the best ``DEGREE`` of
 every node, until few change. A search starts at given nodes and expands the best
 nodes not yet expanded, until those within its beam all are. Graph and search
-compare vectors rounded to bytes; the results are scored on the original vectors
-in double precision.
+compare unit vectors in single precision; the results are scored on the original
+vectors in double precision.
 
 Bounds: a node takes part in at most ``MEMBERS`` neighbours a round, new ones
 first, which NN-descent makes up for in later rounds; no group grows with copies
-of a vector or with the popularity of a node.
+of a vector. In the search a popular node leads to all that have it as neighbour.
 
 Defined results: vectors that are NULL, zero, of another length than most, or
 with NULL or non-finite components take no part; copies are neighbours of each
@@ -34,7 +34,7 @@ from spanledger.session import stored
 DEGREE, MEMBERS, SENT = 32, 64, 6
 TABLES, LEAF, PIECE, FIRST = 4, 200, 512, 12
 ROUNDS, SETTLED = 8, 0.4
-BEAM, EXPAND, STEPS = 256, 32, 14
+BEAM, EXPAND = 256, 32
 GROUP = 400
 
 
@@ -50,22 +50,22 @@ def usable(vectors: DataFrame) -> DataFrame:
     return rows.where(F.size("embedding") == (common["n"] if common else 0)).distinct()
 
 
-def rounded(rows: DataFrame) -> DataFrame:
-    """``node``, ``code``: each vector scaled to bytes."""
+def coded(rows: DataFrame) -> DataFrame:
+    """``node``, ``code``: the bytes of each vector as a unit vector in single precision."""
 
     def batches(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in parts:
             if part.num_rows:
                 x = np.stack(part.column(1).to_numpy(zero_copy_only=False)).astype(np.float64)
-                codes = np.rint(x / np.abs(x).max(1, keepdims=True) * 127).astype(np.int8)
+                x = x / np.abs(x).max(1, keepdims=True)  # so that no square is out of range
+                codes = (x / np.linalg.norm(x, axis=1, keepdims=True)).astype(np.float32)
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array([c.tobytes() for c in codes], pa.binary())], ["node", "code"])
 
     return map_batches(rows, batches, "node bigint, code binary")
 
 
 def _units(codes: pa.ChunkedArray | pa.Array) -> np.ndarray:
-    x = np.frombuffer(b"".join(codes.to_pylist()), np.int8).reshape(len(codes), -1).astype(np.float32)
-    return x / np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-9)
+    return np.frombuffer(b"".join(codes.to_pylist()), np.float32).reshape(len(codes), -1)
 
 
 def _best(sims: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -229,10 +229,8 @@ def search(graph: DataFrame, nodes: DataFrame, queries: DataFrame, entries: Data
         return rows.distinct().join(nodes.select("node", "code"), "node").join(codes, "q").select(key, "q", "node", none.alias("s"), F.lit(True).alias("open"), "code", "asked")
 
     beam = stored(fresh(entries.select("q", "node")).groupBy("g").applyInArrow(merge, fields))
-    for _ in range(STEPS):
-        picked = beam.where("pick")
-        if picked.isEmpty():
-            break
+    # A beam only gets better and a node in it is expanded once, so the steps come to an end.
+    while not (picked := beam.where("pick")).isEmpty():
         reached = picked.select("q", "node").join(near, "node").select("q", F.col("m").alias("node"))
         empty = F.lit(None).cast("binary")
         held = beam.select(key, "q", "node", "s", "open", empty.alias("code"), empty.alias("asked"))
@@ -267,7 +265,7 @@ def nearest(vectors: DataFrame, asked: Column, k: int = 5) -> DataFrame:
     copies = rows.withColumn("r", F.row_number().over(least)).where(F.col("r") <= k + 1)
     copies = stored(copies.withColumn("node", F.first("vec_id").over(least)))
     distinct = copies.where(F.col("r") == 1)
-    nodes = stored(rounded(distinct.select("node", "embedding")))
+    nodes = stored(coded(distinct.select("node", "embedding")))
     graph = build(nodes)
     of_query = rows.where(asked).join(distinct.select("node", "embedding"), "embedding").select(F.col("vec_id").alias("query_id"), "node")
     of_query = stored(of_query)

@@ -235,6 +235,26 @@ def test_neighbours_recall_and_scores(spark):
     assert hits >= 0.9 * 5 * len(got) and len(got) == sum(q % 50 == 0 for q in ids)
 
 
+@pytest.mark.parametrize("noise", [1e-2, 1e-3])
+def test_neighbours_within_a_tight_group(spark, noise):
+    draw = np.random.default_rng(8)
+    centre = draw.standard_normal(64)
+    x = centre + noise * np.abs(centre).max() * draw.standard_normal((3000, 64))
+    x = x.astype(np.float32).astype(float)
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id bigint, embedding array<float>").repartition(8)
+    got = defaultdict(set)
+    for r in neighbours.nearest(df, F.col("vec_id") % 50 == 0).collect():
+        got[r.query_id].add(r.vec_id)
+    unit = x / np.linalg.norm(x, axis=1, keepdims=True)
+    # Differences of units keep the digits that cosines near 1 would lose.
+    hits = 0
+    for q in range(0, 3000, 50):
+        far = ((unit - unit[q]) ** 2).sum(1)
+        far[q] = np.inf
+        hits += len(got[q] & set(np.argsort(far)[:5].tolist()))
+    assert hits >= 0.9 * 5 * 60, hits
+
+
 def test_neighbours_with_copies_and_unusable_vectors(spark):
     rows = [(i, [1.0, 0.0, float(i % 2)]) for i in range(30)] + [(50, [0.0, 1.0, 0.0]), (100, [0.0, 1.0, 0.1]), (100, [0.0, 1.0, 0.1])]
     rows += [(150, None), (200, [0.0, 0.0, 0.0]), (250, [1.0, None, 0.0]), (300, [1.0, float("nan"), 0.0]), (350, [float("inf"), 0.0, 1.0]), (400, [1.0]), (None, [1.0, 1.0, 1.0])]
