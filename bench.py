@@ -55,6 +55,7 @@ def main() -> None:
     start = time.perf_counter()
     stored.raw_logs(spark, sf_dir)
     stored.bridge_over_match(spark, sf_dir)
+    stored.log_store(spark, sf_dir)
     setup = time.perf_counter() - start
     times = {name: round(min(timed(spark, name, sf_dir) for _ in range(2)), 3) for name in HEADLINE}
     print(
