@@ -8,7 +8,8 @@ are derived from the response's, so a task that runs again writes the same.
 
 Defined results: a NULL payload is an empty one; a NULL identifier is derived
 from target and payload; repeated responses give repeated records; other
-columns are not carried.
+columns are not carried. A header block may end its lines in any way; what
+would break a line of a record becomes one space.
 """
 
 from __future__ import annotations
@@ -63,6 +64,17 @@ def _record(headers: list[tuple[str, str]], block: str) -> str:
     return f"WARC/1.1\r\n{head}\r\n{block}"
 
 
+def _header_lines(http: str) -> list[str]:
+    """The lines of a header block, whatever its line ends; a line that begins with white space goes on with the one before."""
+    lines: list[str] = []
+    for line in re.split(r"\r\n|\n|\r", http):
+        if lines and line[:1] in (" ", "\t"):
+            lines[-1] += line
+        elif line.strip():
+            lines.append(line)
+    return lines
+
+
 def derive(key: int | None, record_id: str | None, url: str | None, date: str | None, http: str | None, payload: str | None) -> list[dict]:
     """The two records of one response."""
     html, url, date, http = payload or "", _one_line(url or ""), date or DATE, http or ""
@@ -73,7 +85,8 @@ def derive(key: int | None, record_id: str | None, url: str | None, date: str |
     text = plain_text(html)
     links = [unescape(a or b or c) for a, b, c in _LINK.findall(html)]
     first = {name: (m[1] if (m := pattern.search(html)) else "") for name, pattern in (("title", _TITLE), ("language", _LANG), ("charset", _CHARSET))}
-    fields = [(f"source-{k}", v) for k, v in (x.split(":", 1) for x in http.split("\r\n") if ":" in x)]
+    source_lines = _header_lines(http)
+    fields = [(f"source-{_one_line(k)}", v) for k, v in (x.split(":", 1) for x in source_lines if ":" in x)]
     fields += [(k, unescape(v)) for k, v in first.items()] + [("outlink", x) for x in links]
     blocks = {
         "metadata": ("application/warc-fields", "".join(f"{k}: {_one_line(v)}\r\n" for k, v in fields if v.strip())),
@@ -94,7 +107,7 @@ def derive(key: int | None, record_id: str | None, url: str | None, date: str |
             {
                 "key": key, "url": url, "record_type": kind, "record_id": ids[kind], "refers_to": source, "concurrent_to": ids[other],
                 "warc_date": date, "content_type": content_type, "content_length": len(data), "block_digest": labelled_digest(data),
-                "source_digest": digest, "source_headers": _one_line(http.replace("\r\n", "; ")), "text_chars": len(text),
+                "source_digest": digest, "source_headers": _one_line("; ".join(source_lines)), "text_chars": len(text),
                 "n_links": len(links), "record_sha256": hashlib.sha256(record.encode("utf-8", "replace")).hexdigest(), "record": record,
             }
         )

@@ -2,12 +2,13 @@
 
 import base64
 import hashlib
+from html.parser import HTMLParser
 
 import public_tokenizers
 import pytest
 import tiktoken
 
-from spanledger.llm import byte_bpe, main_text, warc
+from spanledger.llm import byte_bpe, main_text, queries, warc
 
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 SENTENCE = "This is the text of the article, and it is long enough for the rules to take it as a part of what was written here. "
@@ -124,6 +125,60 @@ def test_warc_records():
     assert warc.derive(7, None, "http://h/x", None, "HTTP/1.1 200 OK\r\nContent-Type: text/html\r\nX-Own: 1", html) == [meta, text]
 
 
+@pytest.mark.parametrize("end", ["\r\n", "\n", "\r"])
+def test_warc_headers_with_any_line_ends(end):
+    http = end.join(["HTTP/1.1 200 OK", "X-One : 1", "X-Two: a", "  b", "", "no field"])
+    meta, _ = warc.derive(1, None, "http://h/\nx", None, http, "<p>a</p>")
+    fields = meta["record"].split("\r\n\r\n", 1)[1].split("\r\n")
+    assert fields == ["source-X-One: 1", "source-X-Two: a b", ""] and "WARC-Target-URI: http://h/ x\r\n" in meta["record"]
+    assert meta["source_headers"] == "HTTP/1.1 200 OK; X-One : 1; X-Two: a b; no field"
+
+
+class Page(HTMLParser):
+    """Words that a reader sees, and links, by another parser."""
+
+    def __init__(self):
+        super().__init__()
+        self.words, self.links, self.hidden = [], 0, []
+
+    def handle_starttag(self, tag, attrs):
+        if tag in ("script", "style", "noscript", "template", "head"):
+            self.hidden.append(tag)
+        self.links += tag == "a" and bool(dict(attrs).get("href"))
+
+    def handle_endtag(self, tag):
+        if self.hidden and tag == self.hidden[-1]:
+            self.hidden.pop()
+
+    def handle_data(self, data):
+        if not self.hidden:
+            self.words.append(data)
+
+
+def test_warc_query_against_another_parser(spark):
+    sf = "/root/testdata/sf0.001"
+    pages = {r.page_id: r for r in spark.read.parquet(f"{sf}/pages.parquet").collect()}
+    whole = warc.derivatives(warc.responses_of(spark.read.parquet(f"{sf}/pages.parquet"))).collect()
+    assert len(whole) == 2 * len(pages) and len({r.record_id for r in whole}) == len(whole)
+    by_page = {(r.key, r.record_type): r for r in whole}
+    for i, page in pages.items():
+        meta, text = by_page[i, "metadata"], by_page[i, "conversion"]
+        body = (page.html or "").encode()
+        parsed = Page()
+        parsed.feed(page.html or "")
+        block = text.record.split("\r\n\r\n", 1)[1]
+        assert "".join("".join(parsed.words).split()) == "".join(block.split()) and text.text_chars == len(block)
+        assert meta.n_links == parsed.links == meta.record.count("\r\noutlink: ")
+        for r, other in ((meta, text), (text, meta)):
+            data = r.record.split("\r\n\r\n", 1)[1].encode()
+            assert r.source_digest == "sha1:" + base64.b32encode(hashlib.sha1(body).digest()).decode()
+            assert r.block_digest == "sha1:" + base64.b32encode(hashlib.sha1(data).digest()).decode()
+            assert r.content_length == len(data) and r.record_sha256 == hashlib.sha256(r.record.encode()).hexdigest()
+            assert r.concurrent_to == other.record_id and r.refers_to == other.refers_to and r.url == page.url
+    found = {(r.page_id, r.record_type): r.record_sha256 for r in queries.op10_warc_derivatives(spark, sf).collect()}
+    assert found == {k: r.record_sha256 for k, r in by_page.items()}
+
+
 def test_warc_rows_and_files(spark, tmp_path):
     pages = spark.createDataFrame(
         [(1, "http://a", "<p>a</p>"), (1, "http://a", "<p>a</p>"), (None, None, None)], "page_id bigint, url string, html string"
