@@ -5,7 +5,7 @@ byte has a printable character, and every way to build a token from two others
 is a merge, in the order of the ranks. Texts are cut where white space follows
 a character that is none: no match of the pattern goes across such a place, so
 equal stretches have equal ids and each distinct stretch of a batch is encoded
-once. Ties between overlapping merges of one token are settled by the library
+once; a worker keeps the ids of short ones between batches. Ties between overlapping merges of one token are settled by the library
 of the rank file, which encodes the distinct stretches again as an exact check.
 
 Defined results: NULL text is an empty text and has no ids; ids decode to the
@@ -29,6 +29,7 @@ from spanledger.llm import words
 from spanledger.llm.batches import map_batches
 
 SLICE, RUN = 4_000, 1_500_000
+SEEN, SEEN_LENGTH = 100_000, 40
 
 
 def byte_characters() -> dict[int, str]:
@@ -66,6 +67,12 @@ def _model(path: str, pattern: str):
     return model, exact, pa.array(table, pa.large_binary()), pa.array([f"{i}," for i in range(len(table))], pa.large_string())
 
 
+@cache
+def _seen(path: str, pattern: str) -> dict[str, list[int]]:
+    """Ids of the first ``SEEN`` short stretches that a worker has met, kept between batches."""
+    return {}
+
+
 def _stretches(text: pa.Array) -> tuple[pa.Array, np.ndarray]:
     """The stretches of all texts, and how many each text has."""
     text = pc.fill_null(text, "").cast(pa.large_string())
@@ -98,11 +105,18 @@ def encode_column(text: pa.Array, path: str, pattern: str) -> tuple[np.ndarray,
     model, exact, _, _ = _model(path, pattern)
     stretches, counts = _stretches(text)
     coded = stretches.dictionary_encode()
+    seen = _seen(path, pattern)
     ids: list[list[int]] = []
     for k in range(0, len(coded.dictionary), SLICE):
         distinct = coded.dictionary[k : k + SLICE].to_pylist()
-        found = [e.ids for e in model.encode_batch_fast(distinct, add_special_tokens=False)]
-        ids += [b if a != b else a for a, b in zip(found, map(exact.encode_ordinary, distinct), strict=True)]
+        known = [seen.get(x) for x in distinct]
+        new = [x for x, i in zip(distinct, known, strict=True) if i is None]
+        found = [e.ids for e in model.encode_batch_fast(new, add_special_tokens=False)]
+        fresh = [b if a != b else a for a, b in zip(found, map(exact.encode_ordinary, new), strict=True)]
+        rest = iter(fresh)
+        ids += [next(rest) if i is None else i for i in known]
+        room = SEEN - len(seen)
+        seen.update([(x, i) for x, i in zip(new, fresh, strict=True) if len(x) <= SEEN_LENGTH][: max(room, 0)])
     lengths = np.fromiter(map(len, ids), np.int64, len(ids))
     flat = np.fromiter((i for x in ids for i in x), np.int32, int(lengths.sum()))
     at = coded.indices.to_numpy()
