@@ -18,7 +18,6 @@ import base64
 import hashlib
 import os
 from collections.abc import Iterator
-from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -26,7 +25,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 
 from spanledger.llm import words
-from spanledger.llm.batches import map_batches
+from spanledger.llm.batches import held, map_batches
 
 SLICE, RUN = 4_000, 1_500_000
 SEEN, SEEN_LENGTH = 100_000, 40
@@ -39,7 +38,7 @@ def byte_characters() -> dict[int, str]:
     return {b: chr(b) if b in printable else chr(next(rest)) for b in range(256)}
 
 
-@cache
+@held
 def _model(path: str, pattern: str):
     """The tokenizers model, the exact encoder, and the bytes and decimals of each id."""
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -67,7 +66,7 @@ def _model(path: str, pattern: str):
     return model, exact, pa.array(table, pa.large_binary()), pa.array([f"{i}," for i in range(len(table))], pa.large_string())
 
 
-@cache
+@held
 def _seen(path: str, pattern: str) -> dict[str, list[int]]:
     """Ids of the first ``SEEN`` short stretches that a worker has met, kept between batches."""
     return {}

@@ -23,7 +23,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from spanledger.llm.batches import map_batches
+from spanledger.llm.batches import held, map_batches
 
 SAMPLE_ROWS, SAMPLE_CHARS = 32, 1_000
 STRETCH, SHARP = 512, 60.0
@@ -108,7 +108,7 @@ def _letters() -> np.ndarray:
     return np.fromiter((chr(i).isalpha() for i in range(0x110000)), bool, 0x110000)
 
 
-@cache
+@held
 def _trained(samples: Samples) -> tuple[np.ndarray, list[np.ndarray]]:
     """Symbol of each code point (0 no letter, 1 a rare letter) and the parsers of all languages."""
     points = [np.frombuffer(t.lower().encode("utf-32-le", "replace"), np.uint32) for t in samples.texts]

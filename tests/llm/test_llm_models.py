@@ -7,10 +7,11 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
 
-from spanledger.llm import language, licences, quality, queries, sharding, words
+from spanledger.llm import byte_bpe, language, licences, quality, queries, sharding, words
 
 SF = "/root/testdata/sf0.001"
 
@@ -222,3 +223,17 @@ def test_words_of_columns_and_arrays_agree(spark):
     finally:
         words.STEP = step
     assert again.to_pylist() == flat and at.tolist() == bounds.tolist()
+
+
+def test_a_worker_keeps_the_models_of_one_operator():
+    path, pattern = public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN
+    one, two = (language.Samples(("x", "y"), (a, "uvw uvw")) for a in ("abc abc", "abd abd"))
+    first = language._trained(one)
+    assert language._trained(language.Samples(one.languages, one.texts)) is first
+    language._trained(two)
+    assert language._trained(one) is not first
+    kept = language._trained(one)
+    model = byte_bpe._model(path, pattern)
+    byte_bpe._seen(path, pattern)["a"] = [1]
+    assert byte_bpe._model(path, pattern) is model and byte_bpe._seen(path, pattern) == {"a": [1]}
+    assert language._trained(one) is not kept and byte_bpe._seen(path, pattern) == {}
